@@ -106,13 +106,13 @@ def shipment_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     items = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"
+        "l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"
     )
-    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    price = F.col("l_extendedprice")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         (F.col("o_custkey") % 3).alias("VendorID"),
         F.col("l_quantity").alias("passenger_count"),
-        F.when(F.col("l_returnflag") == "R", -net).otherwise(net).alias("total_amount"),
+        F.when(F.col("l_returnflag") == "R", -price).otherwise(price).alias("total_amount"),
         F.col("l_shipdate").cast("timestamp").alias("tpep_pickup_datetime"),
         (F.col("l_shipdate").cast("timestamp") + F.expr("interval 1 hour")).alias("tpep_dropoff_datetime"),
         F.date_format("o_orderdate", "yyyy-MM").alias("_reference_month"),
@@ -136,7 +136,7 @@ def _physical(service: str, month: str) -> dict[str, Column]:
     naive = {k: c.cast("timestamp_ntz") for k, c in columns.items() if k.lower().endswith("datetime")}
     columns = {**columns, **naive}
     if service == "yellow":
-        fee = F.round(F.abs("total_amount") / 10, 2)
+        fee = F.abs("total_amount") / 10
         drift = {
             "2023-12": {
                 "VendorID": F.col("vendor_id").cast("int"),
