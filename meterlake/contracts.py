@@ -6,7 +6,6 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.functions.columns import snake_case
@@ -268,12 +267,5 @@ def contract_fields(spark: SparkSession, contracts: list[Contract]) -> DataFrame
     )
 
 
-def project_contract(frame: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast, order and annotate columns so that the frame carries exactly ``schema``."""
-    return frame.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name, metadata=dict(f.metadata)) for f in schema.fields]
-    )
-
-
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), frames)

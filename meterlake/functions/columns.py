@@ -114,3 +114,8 @@ def local_date(instant: Column, zone: str) -> Column:
 def required(name: str) -> Column:
     """The column, or a run-time error where it is null: a NOT NULL check on write."""
     return F.coalesce(F.col(name), F.raise_error(F.lit(f"null in required column {name}"))).alias(name)
+
+
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

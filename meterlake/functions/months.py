@@ -57,3 +57,12 @@ def in_window(column: Column, start: datetime, end: datetime) -> Column:
 def month_of_name(name: Column) -> Column:
     """Month in a file name, or an empty string when it holds none."""
     return F.regexp_extract(name, MONTH_PATTERN, 1)
+
+
+def month_start(instant: Column) -> Column:
+    """First day of the month: a cheap grouping key, formatted once per group afterwards."""
+    return F.trunc(instant.cast("date"), "month")
+
+
+def month_label(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from meterlake.contracts import TECHNICAL_COLUMNS, Contract
+from meterlake.contracts import LOGICAL_TYPES, TECHNICAL_COLUMNS, Contract
 from meterlake.functions.months import in_window, month_bounds
 
 # The nine consumption columns, silver name and type.
@@ -21,31 +22,35 @@ FIXED_CONSUMPTION_COLUMNS = (
     ("_service_type", "_service_type", "string"),
 )
 
-HOURLY_COMMENTS = {
-    "hour_of_day": "Pickup hour, 0 to 23.",
-    "average_passenger_count": "Mean positive passenger count of yellow and green trips.",
-    "average_yellow_passenger_count": "Mean positive passenger count of yellow trips.",
-    "average_green_passenger_count": "Mean positive passenger count of green trips.",
-    "trips_considered": "Trips with a positive passenger count.",
-    "yellow_trips_considered": "Yellow trips among those considered.",
-    "green_trips_considered": "Green trips among those considered.",
-    "trips_discarded": "Trips whose passenger count is null, zero or negative.",
-    "_reference_month": "Month the pickups fall in.",
-    "_service_types": "Services that contributed.",
-    "_source_files": "Landing files that contributed.",
-    "_latest_source_ingested_at": "Latest bronze ingestion among the contributing trips.",
-}
-
-
-def gold_consumption(silver_yellow: DataFrame, contract: Contract) -> DataFrame:
+_HOURLY_COLUMNS = (
+    ("hour_of_day", T.IntegerType(), False, "Pickup hour, 0 to 23."),
+    ("average_passenger_count", T.DoubleType(), True, "Mean positive passenger count of yellow and green trips."),
+    ("average_yellow_passenger_count", T.DoubleType(), True, "Mean positive passenger count of yellow trips."),
+    ("average_green_passenger_count", T.DoubleType(), True, "Mean positive passenger count of green trips."),
+    ("trips_considered", T.LongType(), False, "Trips with a positive passenger count."),
+    ("yellow_trips_considered", T.LongType(), False, "Yellow trips among those considered."),
+    ("green_trips_considered", T.LongType(), False, "Green trips among those considered."),
+    ("trips_discarded", T.LongType(), False, "Trips whose passenger count is null, zero or negative."),
+    ("_reference_month", T.StringType(), False, "Month the pickups fall in."),
+    ("_service_types", T.ArrayType(T.StringType(), False), False, "Services that contributed."),
+    ("_source_files", T.ArrayType(T.StringType(), False), False, "Landing files that contributed."),
+    ("_latest_source_ingested_at", T.TimestampType(), True, "Latest bronze ingestion among the trips."),
+)
+HOURLY_SCHEMA = T.StructType(
+    [T.StructField(name, kind, nullable, {"comment": text}) for name, kind, nullable, text in _HOURLY_COLUMNS]
+)
+
+
+def consumption_schema(contract: Contract) -> T.StructType:
+    """The stored schema, with the lineage each column inherits."""
     described = {c.name: c.description for c in (*contract.columns, *TECHNICAL_COLUMNS)}
-    return silver_yellow.select(
-        *[
-            F.col(source)
-            .cast(kind)
-            .alias(
+    return T.StructType(
+        [
+            T.StructField(
                 target,
-                metadata={
+                LOGICAL_TYPES[kind],
+                True,
+                {
                     "comment": described.get(target, ""),
                     "source_column": source,
                     "inherited_from": "silver_yellow_trips",
@@ -58,6 +63,15 @@ def gold_consumption(silver_yellow: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def gold_consumption(silver_yellow: DataFrame) -> DataFrame:
+    return silver_yellow.selectExpr(
+        *[
+            f"CAST(`{source}` AS {LOGICAL_TYPES[kind].simpleString()}) AS `{target}`"
+            for target, source, kind in FIXED_CONSUMPTION_COLUMNS
+        ]
+    )
+
+
 def union_services(silver_yellow: DataFrame, silver_green: DataFrame) -> DataFrame:
     """Yellow and green trips under one pickup column, only the columns the product needs."""
 
@@ -112,5 +126,5 @@ def passengers_by_hour(silver_yellow: DataFrame, silver_green: DataFrame, month:
             F.sort_array(F.collect_set("_source_file")).alias("_source_files"),
             F.max("_ingested_at").alias("_latest_source_ingested_at"),
         )
-        .select(*[F.col(name).alias(name, metadata={"comment": text}) for name, text in HOURLY_COMMENTS.items()])
+        .select(*HOURLY_SCHEMA.names)
     )

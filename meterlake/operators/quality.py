@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.contracts import union_all
-from meterlake.functions.columns import local_date, required
+from meterlake.functions.columns import local_date, required, sql_text
 from meterlake.operators.rules import LAYERS
 
 # The zone whose calendar day a run belongs to, and the note on each result.
@@ -66,12 +66,8 @@ class Run:
 
 def canonical_projection(frame: DataFrame, **sources: str | None) -> DataFrame:
     """The six columns rules may use. A source of ``None`` yields a typed null."""
-    return frame.select(
-        *[
-            (F.col(sources[name]) if sources.get(name) else F.lit(None)).cast(kind).alias(name)
-            for name, kind in CANONICAL_TYPES.items()
-        ]
-    )
+    found = {name: f"`{sources[name]}`" if sources.get(name) else "NULL" for name in CANONICAL_TYPES}
+    return frame.selectExpr(*[f"CAST({found[name]} AS {kind}) AS {name}" for name, kind in CANONICAL_TYPES.items()])
 
 
 def landing_projection(frame: DataFrame) -> DataFrame:
@@ -121,63 +117,49 @@ def evaluate(layers: list[Layer], rules: list[dict], run: Run) -> DataFrame:
     Each layer is scanned once, with all its rules as conditional counts of a global
     aggregate; tasks send one partial row. A layer without rows still yields its rules.
     """
-    spark = layers[0].frame.sparkSession
-    counted = [_count_violations(layer, rules) for layer in layers if _applicable(layer, rules)]
+    counted = [
+        _count_violations(layer, applicable)
+        for layer in layers
+        if (applicable := [rule for rule in rules if layer.name in rule["layers"]])
+    ]
     if not counted:
-        return spark.createDataFrame([], RESULT_SCHEMA)
+        return layers[0].frame.sparkSession.createDataFrame([], RESULT_SCHEMA)
     return _with_status(union_all(counted), run)
 
 
-def _applicable(layer: Layer, rules: list[dict]) -> list[dict]:
-    return [rule for rule in rules if layer.name in rule["layers"]]
-
-
 def _count_violations(layer: Layer, rules: list[dict]) -> DataFrame:
-    rules = _applicable(layer, rules)
     # A rule that evaluates to null is not violated; count_if skips nulls the same way.
-    counts = [F.count_if(F.expr(f"boolean({rule['expression']})")).alias(f"v{i}") for i, rule in enumerate(rules)]
-    totals = layer.frame.agg(F.count(F.lit(1)).alias("total_rows"), *counts)
-    per_rule = F.array(
-        *[
-            F.struct(
-                F.lit(rule["rule_id"]).alias("rule_id"),
-                F.col(f"v{i}").alias("violation_count"),
-                F.lit(float(rule["maximum_violation_percentage"])).alias("maximum_violation_percentage"),
-                F.lit(rule["severity"].upper()).alias("severity"),
-            )
-            for i, rule in enumerate(rules)
-        ]
+    counts = [F.expr(f"count_if(boolean({rule['expression']})) AS v{i}") for i, rule in enumerate(rules)]
+    per_rule = ", ".join(
+        f"struct({sql_text(rule['rule_id'])} AS rule_id, v{i} AS violation_count, "
+        f"double({float(rule['maximum_violation_percentage'])!r}) AS maximum_violation_percentage, "
+        f"{sql_text(rule['severity'].upper())} AS severity)"
+        for i, rule in enumerate(rules)
     )
-    return totals.select(
-        F.lit(layer.name).alias("layer"),
-        F.lit(layer.table_name).alias("table_name"),
+    return layer.frame.agg(F.count(F.lit(1)).alias("total_rows"), *counts).selectExpr(
+        f"{sql_text(layer.name)} AS layer",
+        f"{sql_text(layer.table_name)} AS table_name",
         "total_rows",
-        F.inline(per_rule),
+        f"inline(array({per_rule}))",
     )
 
 
 def _with_status(counted: DataFrame, run: Run) -> DataFrame:
-    share = F.when(F.col("total_rows") > 0, F.lit(100.0) * F.col("violation_count") / F.col("total_rows")).otherwise(
-        F.lit(0.0)
+    def day(value: date | None) -> str:
+        return f"DATE'{value.isoformat()}'" if value else "CAST(NULL AS DATE)"
+
+    share = "CASE WHEN total_rows > 0 THEN double(100) * violation_count / total_rows ELSE double(0) END"
+    constants = {
+        "execution_id": sql_text(run.execution_id),
+        "executed_at": f"CAST({sql_text(run.executed_at.isoformat())} AS TIMESTAMP)",
+        "reference_start": day(run.reference_start),
+        "reference_end": day(run.reference_end),
+        "status": "CASE WHEN violation_percentage <= maximum_violation_percentage THEN 'OK' ELSE severity END",
+        "details": sql_text(FIXED_DETAILS),
+    }
+    return counted.selectExpr("*", f"{share} AS violation_percentage").selectExpr(
+        *[f"{constants[name]} AS {name}" if name in constants else name for name in RESULT_NAMES]
     )
-    rated = counted.withColumn("violation_percentage", share)
-    status = F.when(F.col("violation_percentage") <= F.col("maximum_violation_percentage"), "OK").otherwise(
-        F.col("severity")
-    )
-
-    def day(value: date | None) -> Column:
-        return F.lit(value.isoformat() if value else None).cast("date")
-
-    return rated.withColumns(
-        {
-            "execution_id": F.lit(run.execution_id),
-            "executed_at": F.lit(run.executed_at.isoformat()).cast("timestamp"),
-            "reference_start": day(run.reference_start),
-            "reference_end": day(run.reference_end),
-            "status": status,
-            "details": F.lit(FIXED_DETAILS),
-        }
-    ).select(*RESULT_NAMES)
 
 
 def checked_results(results: DataFrame) -> DataFrame:

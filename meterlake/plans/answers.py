@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.functions.months import in_window
+from meterlake.functions.months import in_window, month_label, month_start
 
 PICKUP = "tpep_pickup_datetime"
 
@@ -26,11 +26,12 @@ def monthly_average_amount(consumption: DataFrame, start: datetime, end: datetim
     """Mean amount by the month of the pickup, not of the file."""
     return (
         consumption.filter(in_window(F.col(PICKUP), start, end))
-        .groupBy(F.date_format(PICKUP, "yyyy-MM").alias("mes_referencia"))
+        .groupBy(month_start(F.col(PICKUP)).alias("month"))
         .agg(
             F.round(F.avg("total_amount"), 2).alias("media_total_amount"),
             F.count("total_amount").alias("viagens_com_total_amount"),
         )
+        .select(month_label(F.col("month")).alias("mes_referencia"), "media_total_amount", "viagens_com_total_amount")
         .orderBy("mes_referencia")
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.columns import bucket, duration_minutes, percent_change, percent_of
-from meterlake.functions.months import in_window
+from meterlake.functions.months import in_window, month_label, month_start
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 MONTH = "mes_referencia"
@@ -87,18 +87,39 @@ def monthly_volume(trips: DataFrame) -> DataFrame:
 
 
 def pickup_versus_reference(trips: DataFrame, start: datetime, end: datetime) -> DataFrame:
-    """Trips per file month against trips per pickup month."""
-    by_file = trips.groupBy(F.col("_reference_month").alias("mes_pickup")).agg(
-        F.count(F.lit(1)).alias("corridas_mes_arquivo")
+    """Trips per file month against trips per pickup month, for every file month.
+
+    The trips are read once: counted by both months together, they shrink to a few rows,
+    and each of those then counts for its file month and for its pickup month.
+    """
+    pickup_month = F.when(in_window(F.col(PICKUP), start, end), month_start(F.col(PICKUP)))
+    pairs = (
+        trips.groupBy(F.col("_reference_month").alias("file_month"), pickup_month.alias("pickup_start"))
+        .agg(F.count(F.lit(1)).alias("trips"))
+        .select("file_month", month_label(F.col("pickup_start")).alias("pickup_month"), "trips")
     )
-    by_pickup = (
-        trips.filter(in_window(F.col(PICKUP), start, end))
-        .groupBy(F.date_format(PICKUP, "yyyy-MM").alias("mes_pickup"))
-        .agg(F.count(F.lit(1)).alias("corridas_mes_pickup"))
+
+    def side(month: str, **counts: Column) -> Column:
+        nothing = F.lit(None).cast("long")
+        values = {name: counts.get(name, nothing) for name in ("by_file", "by_pickup")}
+        return F.struct(F.col(month).alias("mes_pickup"), *[c.alias(n) for n, c in values.items()])
+
+    sides = pairs.select(
+        F.inline(
+            F.array(
+                side("file_month", by_file=F.col("trips")),
+                side("pickup_month", by_pickup=F.col("trips")),
+            )
+        )
     )
     change = percent_change(F.col("corridas_mes_pickup"), Window.orderBy("mes_pickup"))
     return (
-        by_file.join(by_pickup, "mes_pickup", "left")
+        sides.groupBy("mes_pickup")
+        .agg(
+            F.sum("by_file").alias("corridas_mes_arquivo"),
+            F.sum("by_pickup").alias("corridas_mes_pickup"),
+        )
+        .filter(F.col("corridas_mes_arquivo").isNotNull())
         .select(
             "mes_pickup",
             "corridas_mes_arquivo",

@@ -67,7 +67,7 @@ def _silver(spark: SparkSession, sf_dir: str, service: str, end: str = END_MONTH
 
 
 def _consumption(spark: SparkSession, sf_dir: str, end: str = END_MONTH) -> DataFrame:
-    return gold.gold_consumption(_silver(spark, sf_dir, "yellow", end), base_contract("yellow"))
+    return gold.gold_consumption(_silver(spark, sf_dir, "yellow", end))
 
 
 def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,23 +344,26 @@ def graded_document() -> dict:
 
 
 def quality_layers(spark: SparkSession, sf_dir: str, end: str = END_MONTH) -> list[quality.Layer]:
-    trips = fixtures.event_trips(spark, sf_dir)
-    in_months = F.col("_reference_month").between(START_MONTH, end)
-    bronze = _bronze(spark, sf_dir, "yellow").filter(in_months)
+    trips, contract = fixtures.event_trips(spark, sf_dir), base_contract("yellow")
+    bronze = fixtures.bronze_trips(trips, contract)
+    silver = silver_trips(bronze, contract, START_MONTH, end)
     files = fixtures.service_trips(trips, "yellow").filter(F.col("reference_month").between(START_MONTH, end))
-    raw = quality.canonical_projection(files, **{name: name for name in quality.CANONICAL_TYPES})
     return [
-        quality.Layer("landing", "landing/yellow", raw),
-        quality.Layer("bronze", "bronze.bronze_yellow_trips", quality.table_projection(bronze, "VendorID")),
         quality.Layer(
-            "silver",
-            "silver.silver_yellow_trips",
-            quality.table_projection(_silver(spark, sf_dir, "yellow", end), "vendor_id"),
+            "landing",
+            "landing/yellow",
+            quality.canonical_projection(files, **{name: name for name in quality.CANONICAL_TYPES}),
         ),
+        quality.Layer(
+            "bronze",
+            "bronze.bronze_yellow_trips",
+            quality.table_projection(bronze.filter(F.col("_reference_month").between(START_MONTH, end)), "VendorID"),
+        ),
+        quality.Layer("silver", "silver.silver_yellow_trips", quality.table_projection(silver, "vendor_id")),
         quality.Layer(
             "gold",
             "gold.gold_yellow_trips_consumption",
-            quality.table_projection(_consumption(spark, sf_dir, end), "VendorID"),
+            quality.table_projection(gold.gold_consumption(silver), "VendorID"),
         ),
     ]
 

@@ -15,7 +15,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python call site of every column costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -8,7 +8,7 @@ joined to ``orders`` becomes yellow trips over eighty months.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.contracts import Contract
@@ -23,60 +23,56 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per event."""
-    event, value = F.col("event_id"), F.col("value")
-
-    def every(n: int) -> Column:
-        return event % n == 0
-
-    service = F.lit(None).cast("string")
-    for name, kinds in SERVICE_EVENTS.items():
-        service = F.when(F.col("event_type").isin(*kinds), name).otherwise(service)
-    shaped = table(spark, sf_dir, "events").select(
-        event.alias("trip_id"),
-        F.col("user_id"),
-        F.col("event_type"),
-        F.when(F.col("user_id") % 29 == 0, None).otherwise(F.col("user_id") % 3).alias("vendor_id"),
-        service.alias("service_type"),
-        F.when(every(37), None).when(every(23), 0).otherwise(1 + event % 4).cast("double").alias("passenger_count"),
-        F.when(every(97), None).when(every(41), -value).otherwise(value).alias("total_amount"),
-        F.col("ts").cast("timestamp").alias("pickup_datetime"),
-        F.when(every(101), None)
-        .when(every(53), -90)
-        .when(every(499), 90000)
-        .otherwise(F.floor(value * 60))
-        .cast("long")
-        .alias("duration_seconds"),
-        F.when(every(211), "2024-02").when(every(223), "2023-12").otherwise("2024-01").alias("reference_month"),
-        F.col("props").alias("rescued_data"),
+    services = " ".join(
+        f"WHEN event_type IN ({', '.join(repr(kind) for kind in kinds)}) THEN '{name}'"
+        for name, kinds in SERVICE_EVENTS.items()
     )
-    return shaped.withColumns(
-        {
-            "dropoff_datetime": F.col("pickup_datetime")
-            + F.col("duration_seconds") * F.expr("interval 1 second"),
-            "source_file": F.concat("service_type", F.lit("_tripdata_"), "reference_month", F.lit(".parquet")),
-            "ingested_at": F.col("pickup_datetime") + F.expr("interval 40 days"),
-        }
+    return (
+        table(spark, sf_dir, "events")
+        .selectExpr(
+            "event_id AS trip_id",
+            "user_id",
+            "event_type",
+            "CASE WHEN user_id % 29 = 0 THEN NULL ELSE user_id % 3 END AS vendor_id",
+            f"CASE {services} END AS service_type",
+            "CAST(CASE WHEN event_id % 37 = 0 THEN NULL WHEN event_id % 23 = 0 THEN 0 ELSE 1 + event_id % 4 END"
+            " AS DOUBLE) AS passenger_count",
+            "CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 41 = 0 THEN -value ELSE value END AS total_amount",
+            "CAST(ts AS TIMESTAMP) AS pickup_datetime",
+            "CAST(CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 53 = 0 THEN -90"
+            " WHEN event_id % 499 = 0 THEN 90000 ELSE floor(value * 60) END AS BIGINT) AS duration_seconds",
+            "CASE WHEN event_id % 211 = 0 THEN '2024-02' WHEN event_id % 223 = 0 THEN '2023-12' ELSE '2024-01' END"
+            " AS reference_month",
+            "props AS rescued_data",
+        )
+        .selectExpr(
+            "*",
+            "pickup_datetime + duration_seconds * INTERVAL '1' SECOND AS dropoff_datetime",
+            "concat(service_type, '_tripdata_', reference_month, '.parquet') AS source_file",
+            "pickup_datetime + INTERVAL '40' DAY AS ingested_at",
+        )
     )
 
 
-def _trip_values(dataset: str) -> dict[str, Column]:
-    """Contract column to trip column; contract columns without an entry are null."""
-    shared = {"VendorID": F.col("vendor_id"), "passenger_count": F.col("passenger_count"), "total_amount": F.col("total_amount")}
+def _trip_values(dataset: str) -> dict[str, str]:
+    """Contract column to expression over a trip; contract columns without an entry are null."""
     if dataset == "fhv":
         return {
-            "dispatching_base_num": F.concat(F.lit("B"), F.col("user_id").cast("string")),
-            "pickup_datetime": F.col("pickup_datetime"),
-            "dropOff_datetime": F.col("dropoff_datetime"),
-            "PUlocationID": F.col("user_id"),
-            "SR_Flag": F.col("vendor_id"),
+            "dispatching_base_num": "concat('B', user_id)",
+            "pickup_datetime": "pickup_datetime",
+            "dropOff_datetime": "dropoff_datetime",
+            "PUlocationID": "user_id",
+            "SR_Flag": "vendor_id",
         }
     prefix = {"yellow": "tpep", "green": "lpep"}[dataset]
     return {
-        **shared,
-        f"{prefix}_pickup_datetime": F.col("pickup_datetime"),
-        f"{prefix}_dropoff_datetime": F.col("dropoff_datetime"),
-        "PULocationID": F.col("user_id"),
-        "fare_amount": F.abs("total_amount"),
+        "VendorID": "vendor_id",
+        "passenger_count": "passenger_count",
+        "total_amount": "total_amount",
+        f"{prefix}_pickup_datetime": "pickup_datetime",
+        f"{prefix}_dropoff_datetime": "dropoff_datetime",
+        "PULocationID": "user_id",
+        "fare_amount": "abs(total_amount)",
     }
 
 
@@ -88,14 +84,16 @@ def service_trips(trips: DataFrame, dataset: str) -> DataFrame:
 def bronze_trips(trips: DataFrame, contract: Contract) -> DataFrame:
     """Event trips of one service in the bronze shape of its contract."""
     values = _trip_values(contract.dataset)
-    nothing = F.lit(None)
-    return service_trips(trips, contract.dataset).select(
-        *[values.get(c.name, nothing).cast(c.data_type).alias(c.name) for c in contract.columns],
-        F.col("rescued_data").alias("_rescued_data"),
-        F.col("source_file").alias("_source_file"),
-        F.col("ingested_at").alias("_ingested_at"),
-        F.col("service_type").alias("_service_type"),
-        F.col("reference_month").alias("_reference_month"),
+    return service_trips(trips, contract.dataset).selectExpr(
+        *[
+            f"CAST({values.get(c.name, 'NULL')} AS {c.data_type.simpleString()}) AS `{c.name}`"
+            for c in contract.columns
+        ],
+        "rescued_data AS _rescued_data",
+        "source_file AS _source_file",
+        "ingested_at AS _ingested_at",
+        "service_type AS _service_type",
+        "reference_month AS _reference_month",
     )
 
 
@@ -104,18 +102,23 @@ def shipment_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Both sides are shuffled on the order key once; a hot key is split by adaptive execution.
     """
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    items = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey % 3 AS VendorID", "date_format(o_orderdate, 'yyyy-MM') AS _reference_month"
+    )
+    items = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_quantity AS passenger_count",
+        "CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END AS total_amount",
+        "CAST(l_shipdate AS TIMESTAMP) AS tpep_pickup_datetime",
+        "CAST(l_shipdate AS TIMESTAMP) + INTERVAL '1' HOUR AS tpep_dropoff_datetime",
     )
-    price = F.col("l_extendedprice")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        (F.col("o_custkey") % 3).alias("VendorID"),
-        F.col("l_quantity").alias("passenger_count"),
-        F.when(F.col("l_returnflag") == "R", -price).otherwise(price).alias("total_amount"),
-        F.col("l_shipdate").cast("timestamp").alias("tpep_pickup_datetime"),
-        (F.col("l_shipdate").cast("timestamp") + F.expr("interval 1 hour")).alias("tpep_dropoff_datetime"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("_reference_month"),
+        "VendorID",
+        "passenger_count",
+        "total_amount",
+        "tpep_pickup_datetime",
+        "tpep_dropoff_datetime",
+        "_reference_month",
     )
 
 
@@ -125,38 +128,35 @@ def drifted_files(trips: DataFrame) -> dict[tuple[str, str], DataFrame]:
     for service in SERVICE_EVENTS:
         for month in REFERENCE_MONTHS:
             month_trips = service_trips(trips, service).filter(F.col("reference_month") == month)
-            files[service, month] = month_trips.select(
-                *[column.alias(name) for name, column in _physical(service, month).items()]
+            files[service, month] = month_trips.selectExpr(
+                *[f"{expression} AS `{name}`" for name, expression in _physical(service, month).items()]
             )
     return files
 
 
-def _physical(service: str, month: str) -> dict[str, Column]:
-    columns = _trip_values(service)
-    naive = {k: c.cast("timestamp_ntz") for k, c in columns.items() if k.lower().endswith("datetime")}
-    columns = {**columns, **naive}
-    if service == "yellow":
-        fee = F.abs("total_amount") / 10
-        drift = {
-            "2023-12": {
-                "VendorID": F.col("vendor_id").cast("int"),
-                "passenger_count": F.col("passenger_count").cast("long"),
-                "Airport_fee": fee,
-            },
-            "2024-01": {"airport_fee": fee},
-            "2024-02": {
-                "VendorID": F.col("vendor_id").cast("double"),
-                "total_amount": F.col("total_amount").cast("string"),
-                "airport_fee": fee,
-                "meter_note": F.col("rescued_data"),
-            },
-        }
-        return {**columns, **drift[month]}
-    if service == "green" and month == "2023-12":
-        return {**columns, "passenger_count": F.col("passenger_count").cast("string"), "ehail_fee": F.col("user_id")}
-    if service == "fhv" and month == "2024-02":
-        return {**columns, "SR_Flag": F.col("vendor_id").cast("int")}
-    return columns
+def _physical(service: str, month: str) -> dict[str, str]:
+    columns = {
+        name: f"CAST({value} AS TIMESTAMP_NTZ)" if name.lower().endswith("datetime") else value
+        for name, value in _trip_values(service).items()
+    }
+    fee = "abs(total_amount) / 10"
+    drift: dict[tuple[str, str], dict[str, str]] = {
+        ("yellow", "2023-12"): {
+            "VendorID": "CAST(vendor_id AS INT)",
+            "passenger_count": "CAST(passenger_count AS BIGINT)",
+            "Airport_fee": fee,
+        },
+        ("yellow", "2024-01"): {"airport_fee": fee},
+        ("yellow", "2024-02"): {
+            "VendorID": "CAST(vendor_id AS DOUBLE)",
+            "total_amount": "CAST(total_amount AS STRING)",
+            "airport_fee": fee,
+            "meter_note": "rescued_data",
+        },
+        ("green", "2023-12"): {"passenger_count": "CAST(passenger_count AS STRING)", "ehail_fee": "user_id"},
+        ("fhv", "2024-02"): {"SR_Flag": "CAST(vendor_id AS INT)"},
+    }
+    return {**columns, **drift.get((service, month), {})}
 
 
 def stage_landing(trips: DataFrame, root: str) -> str:

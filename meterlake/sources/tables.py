@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterlake.functions.columns import sql_text
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -42,10 +44,6 @@ class Lake:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/{database}'")
 
 
-def quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def ensure_table(
     spark: SparkSession,
     lake: Lake,
@@ -74,9 +72,9 @@ def ensure_table(
         if partition_by:
             spark.sql(f"MSCK REPAIR TABLE {table}")
     if comment:
-        spark.sql(f"COMMENT ON TABLE {table} IS {quoted(comment)}")
+        spark.sql(f"COMMENT ON TABLE {table} IS {sql_text(comment)}")
     if properties:
-        pairs = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
+        pairs = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
 
 
@@ -98,7 +96,7 @@ def replace_partition(frame: DataFrame, table: str, column: str, value: str) ->
     frame.select(*[F.col(f"`{c}`") for c in ordered]).createOrReplaceTempView(view)
     try:
         spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION (`{column}` = {quoted(value)}) SELECT * FROM {view}"
+            f"INSERT OVERWRITE TABLE {table} PARTITION (`{column}` = {sql_text(value)}) SELECT * FROM {view}"
         )
     finally:
         spark.catalog.dropTempView(view)
