@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.functions.columns import snake_case
@@ -230,6 +231,8 @@ def read_contracts(spark: SparkSession, path: str) -> dict[str, Contract]:
         .option("multiLine", True)
         .option("mode", "FAILFAST")
         .json(path)
+        # As entries, because a collected map does not keep the order of its keys.
+        .withColumn("columns", F.map_entries("columns"))
     )
     contracts = {}
     for row in documents.collect():
@@ -238,7 +241,7 @@ def read_contracts(spark: SparkSession, path: str) -> dict[str, Contract]:
             table=row["table"],
             columns=tuple(
                 ContractColumn(name, spec["type"], spec["description"] or "", spec["references"])
-                for name, spec in row["columns"].items()
+                for name, spec in row["columns"]
             ),
             description=row["description"] or "",
             dictionary_slug=row["dictionary_slug"],

@@ -18,7 +18,7 @@ from meterlake.operators.quality import (
 )
 from meterlake.operators.rules import CATALOG_SCHEMA, checked_catalog, rule_frame, synchronised_catalog
 from meterlake.plans import quality_views
-from meterlake.sources.tables import Lake, ensure_table, replace_partition
+from meterlake.sources.tables import Lake, TableSpec, ensure_table, replace_partition
 
 VERSION = "catalog_version"
 DAY = "execution_date"
@@ -32,25 +32,28 @@ def results_table(lake: Lake) -> str:
     return f"{lake.quality}.dq_rule_results"
 
 
+def table_specs(lake: Lake) -> list[TableSpec]:
+    return [
+        TableSpec(
+            catalog_table(lake),
+            T.StructType([*CATALOG_SCHEMA.fields, T.StructField(VERSION, T.LongType(), False)]),
+            (VERSION,),
+            "Quality rules; every synchronisation adds a version and the highest one counts",
+        ),
+        TableSpec(
+            results_table(lake),
+            T.StructType([*RESULT_SCHEMA.fields, T.StructField(DAY, T.StringType(), False)]),
+            (DAY,),
+            "Rule results by layer, one run kept per local day",
+        ),
+    ]
+
+
 def setup(spark: SparkSession, lake: Lake) -> None:
     """Create the governed tables and register the views of this session."""
     lake.create_databases(spark)
-    ensure_table(
-        spark,
-        lake,
-        catalog_table(lake),
-        T.StructType([*CATALOG_SCHEMA.fields, T.StructField(VERSION, T.LongType(), False)]),
-        [VERSION],
-        "Quality rules; every synchronisation adds a version and the highest one counts",
-    )
-    ensure_table(
-        spark,
-        lake,
-        results_table(lake),
-        T.StructType([*RESULT_SCHEMA.fields, T.StructField(DAY, T.StringType(), False)]),
-        [DAY],
-        "Rule results by layer, one run kept per local day",
-    )
+    for spec in table_specs(lake):
+        ensure_table(spark, lake, spec)
     register_views(spark, lake)
 
 

@@ -40,7 +40,10 @@ FOOTER_COLUMNS = (
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """One row per file below ``root``. File contents are never selected, so never read."""
+    """One row per file below ``root`` that holds any byte; empty files are not listed.
+
+    File contents are never selected, so never read.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,48 +45,68 @@ class Lake:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/{database}'")
 
 
-def ensure_table(
-    spark: SparkSession,
-    lake: Lake,
-    table: str,
-    schema: T.StructType,
-    partition_by: Iterable[str] = (),
-    comment: str = "",
-    properties: dict[str, str] | None = None,
-) -> None:
+@dataclass(frozen=True)
+class TableSpec:
+    """What a stored table is: name, schema with column metadata, layout, documentation."""
+
+    name: str
+    schema: T.StructType
+    partition_by: tuple[str, ...] = ()
+    comment: str = ""
+    properties: dict[str, str] | None = None
+
+
+def ensure_table(spark: SparkSession, lake: Lake, spec: TableSpec) -> None:
     """Register the table if this catalogue lacks it; data already at its place is kept.
 
     The columns keep their whole metadata, not only the comment. A catalogue that lives as
     long as the session finds earlier partitions again through the repair.
     """
-    partition_by = list(partition_by)
-    if not spark.catalog.tableExists(table):
-        stored = T.StructType(
-            [f for f in schema.fields if f.name not in partition_by]
-            + [f for f in schema.fields if f.name in partition_by]
-        )
-        writer = spark.createDataFrame([], stored).write.format("parquet").mode("append")
-        writer = writer.option("path", lake.location(table))
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(table)
-        if partition_by:
-            spark.sql(f"MSCK REPAIR TABLE {table}")
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {table} IS {sql_text(comment)}")
-    if properties:
-        pairs = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in properties.items())
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
-
-
-def replace_table(frame: DataFrame, table: str) -> None:
-    """Full refresh of a derived table."""
-    _insert(frame, table)
-
-
-def _insert(frame: DataFrame, table: str) -> None:
-    ordered = frame.sparkSession.table(table).columns
-    frame.select(*[F.col(f"`{c}`") for c in ordered]).write.mode("overwrite").insertInto(table)
+    if not spark.catalog.tableExists(spec.name):
+        if spec.partition_by:
+            stored = T.StructType(
+                [f for f in spec.schema.fields if f.name not in spec.partition_by]
+                + [spec.schema[name] for name in spec.partition_by]
+            )
+            # Creating a table from a frame clears its folder. Where there is one already, the
+            # table is created elsewhere, pointed at it, and its partitions looked up there.
+            location = lake.location(spec.name)
+            found = _exists(spark, location)
+            (
+                spark.createDataFrame([], stored)
+                .write.format("parquet")
+                .option("path", f"{lake.root}/_registered/{uuid.uuid4().hex}" if found else location)
+                .partitionBy(*spec.partition_by)
+                .saveAsTable(spec.name)
+            )
+            if found:
+                spark.sql(f"ALTER TABLE {spec.name} SET LOCATION {sql_text(location)}")
+                spark.sql(f"MSCK REPAIR TABLE {spec.name}")
+        else:
+            spark.catalog.createTable(spec.name, lake.location(spec.name), "parquet", spec.schema)
+    if spec.comment:
+        spark.sql(f"COMMENT ON TABLE {spec.name} IS {sql_text(spec.comment)}")
+    if spec.properties:
+        pairs = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in spec.properties.items())
+        spark.sql(f"ALTER TABLE {spec.name} SET TBLPROPERTIES ({pairs})")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def publish(spark: SparkSession, lake: Lake, spec: TableSpec, frame: DataFrame) -> None:
+    """Full refresh of a derived table, without a shuffle: tasks write straight into the
+    partitions of their rows."""
+    ensure_table(spark, lake, spec)
+    ordered = spark.table(spec.name).columns
+    frame.select(*[F.col(f"`{c}`") for c in ordered]).write.mode("overwrite").insertInto(spec.name)
 
 
 def replace_partition(frame: DataFrame, table: str, column: str, value: str) -> None:

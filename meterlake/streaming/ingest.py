@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from meterlake.contracts import Contract
 from meterlake.operators.bronze import bronze_rows
 from meterlake.sources.landing import FILE_LISTING_SCHEMA, read_footers, schema_groups
-from meterlake.sources.tables import Lake, ensure_table
+from meterlake.sources.tables import Lake, TableSpec, ensure_table
 
 BATCH_COLUMN = "_ingest_batch"
 BRONZE_PARTITIONS = ("_reference_month", BATCH_COLUMN)
@@ -29,9 +29,15 @@ def bronze_table(lake: Lake, contract: Contract) -> str:
     return f"{lake.bronze}.{contract.table}"
 
 
-def stored_schema(contract: Contract) -> T.StructType:
+def bronze_spec(lake: Lake, contract: Contract, properties: dict[str, str] | None = None) -> TableSpec:
     batch = T.StructField(BATCH_COLUMN, T.LongType(), True, {"comment": "Micro-batch that stored the row."})
-    return T.StructType([*contract.bronze_schema().fields, batch])
+    return TableSpec(
+        bronze_table(lake, contract),
+        T.StructType([*contract.bronze_schema().fields, batch]),
+        BRONZE_PARTITIONS,
+        contract.description,
+        properties,
+    )
 
 
 def service_properties(contract: Contract, user_guide: str, dictionary: str, parquet_format: str) -> dict[str, str]:
@@ -70,7 +76,7 @@ def ingest_service(
 ) -> str:
     """Bring the bronze table of one service up to date and return its name."""
     table = bronze_table(lake, contract)
-    ensure_table(spark, lake, table, stored_schema(contract), BRONZE_PARTITIONS, contract.description, properties)
+    ensure_table(spark, lake, bronze_spec(lake, contract, properties))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         # The batch runs in a session of its own, so these settings stay local to it:
