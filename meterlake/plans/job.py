@@ -19,9 +19,10 @@ from meterlake.functions.months import window_dates
 from meterlake.operators import coverage, dictionary, gold, quality, rules
 from meterlake.operators.silver import silver_trips
 from meterlake.plans import quality_store
+from meterlake.plans.refresh import refresh_months
 from meterlake.sources import landing, metadata
 from meterlake.sources.tables import Lake, TableSpec, ensure_table, publish
-from meterlake.streaming.ingest import bronze_spec, bronze_table, ingest_service, service_properties
+from meterlake.streaming.ingest import bronze_spec, bronze_table, ingest_services, service_properties
 
 MONTH = "_reference_month"
 
@@ -214,9 +215,8 @@ def _gold_specs(config: JobConfig) -> list[TableSpec]:
 
 
 def refresh_bronze(spark: SparkSession, config: JobConfig) -> None:
-    for service in config.services:
-        contract = config.contracts[service]
-        ingest_service(spark, config.lake, contract, _service_properties(contract))
+    contracts = [config.contracts[service] for service in config.services]
+    ingest_services(spark, config.lake, contracts, {c.dataset: _service_properties(c) for c in contracts})
 
 
 def refresh_metadata(spark: SparkSession, config: JobConfig) -> None:
@@ -234,23 +234,40 @@ def refresh_metadata(spark: SparkSession, config: JobConfig) -> None:
     publish(spark, lake, specs[f"{lake.bronze}.bronze_metadata_columns"], covered)
 
 
-def refresh_silver(spark: SparkSession, config: JobConfig) -> None:
-    specs = table_specs(config)
-    for dataset in (*config.services, ZONE_DATASET):
-        contract = config.contracts[dataset]
-        source = spark.table(bronze_table(config.lake, contract))
-        rows = silver_trips(source, contract, config.start_month, config.end_month)
-        publish(spark, config.lake, specs[silver_table(config, dataset)], rows)
+def refresh_silver(spark: SparkSession, config: JobConfig) -> dict[str, list[str] | None]:
+    """Silver tables; returns the months rewritten per service, None standing for all."""
+    lake, specs, months = config.lake, table_specs(config), {}
+    for service in config.services:
+        contract = config.contracts[service]
+        bronze = bronze_table(lake, contract)
+        rows = silver_trips(spark.table(bronze), contract, config.start_month, config.end_month)
+        spec = specs[silver_table(config, service)]
+        months[service] = refresh_months(spark, lake, spec, rows, bronze, _window(config))
+    zones = config.contracts[ZONE_DATASET]
+    lookup = silver_trips(spark.table(bronze_table(lake, zones)), zones, config.start_month, config.end_month)
+    publish(spark, lake, specs[silver_table(config, ZONE_DATASET)], lookup)
+    return months
 
 
 def refresh_gold(spark: SparkSession, config: JobConfig) -> None:
     specs = table_specs(config)
     yellow, green = (spark.table(silver_table(config, service)) for service in ("yellow", "green"))
-    publish(spark, config.lake, specs[consumption_table(config)], gold.gold_consumption(yellow))
+    refresh_months(
+        spark,
+        config.lake,
+        specs[consumption_table(config)],
+        gold.gold_consumption(yellow),
+        bronze_table(config.lake, config.contracts["yellow"]),
+        _window(config),
+    )
     hourly = gold.passengers_by_hour(yellow, green, config.passenger_month)
     publish(spark, config.lake, specs[hourly_table(config)], hourly)
 
 
+def _window(config: JobConfig) -> str:
+    return f"{config.start_month}..{config.end_month}"
+
+
 def new_run(config: JobConfig) -> quality.Run:
     return quality.Run(
         str(uuid.uuid4()), datetime.now(timezone.utc), *window_dates(config.start_month, config.end_month)

@@ -26,7 +26,7 @@ from meterlake.session import scratch_dir
 from meterlake.sources import event_trips as fixtures
 from meterlake.sources import landing, metadata
 from meterlake.sources.tables import Lake
-from meterlake.streaming.ingest import ingest_service
+from meterlake.streaming.ingest import ingest_services
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -154,9 +154,10 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fhv": ("SR_Flag", "pickup_datetime", "dropOff_datetime", None, None),
     }
     names = ("vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "total_amount")
+    tables = ingest_services(spark, lake, [base_contract(service) for service in shapes])
     frames = []
     for service, sources in shapes.items():
-        stored = spark.table(ingest_service(spark, lake, base_contract(service)))
+        stored = spark.table(tables[service])
         values = [
             (F.col(source) if source else F.lit(None).cast("double")).alias(name)
             for source, name in zip(sources, names, strict=True)

@@ -8,6 +8,8 @@ joined to ``orders`` becomes yellow trips over eighty months.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,10 +163,16 @@ def _physical(service: str, month: str) -> dict[str, str]:
 
 def stage_landing(trips: DataFrame, root: str) -> str:
     """Write the drifted files below ``root`` under their published names."""
-    for (service, month), frame in drifted_files(trips).items():
+
+    def write(item: tuple[tuple[str, str], DataFrame]) -> None:
+        (service, month), frame = item
         (
             frame.write.mode("overwrite")
             .option("mapreduce.output.basename", f"{service}_tripdata_{month}")
             .parquet(f"{root}/{service}/{month[:4]}/{month[5:]}")
         )
+
+    # Nine small independent jobs; submitting them together keeps the executors busy.
+    with ThreadPoolExecutor(len(REFERENCE_MONTHS)) as pool:
+        list(pool.map(write, drifted_files(trips).items()))
     return root

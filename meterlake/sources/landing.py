@@ -207,7 +207,7 @@ def schema_groups(spark: SparkSession, footers: DataFrame) -> list[SchemaGroup]:
     listing = footers.filter(F.col("fields").isNotNull()).select(
         "path", F.sha2(F.to_json("fields"), 256).alias("fingerprint")
     )
-    for row in listing.toLocalIterator():
+    for row in listing.collect():
         by_schema.setdefault(row["fingerprint"], []).append(row["path"])
     return [
         SchemaGroup(spark.read.parquet(paths[0]).schema, tuple(sorted(paths)))

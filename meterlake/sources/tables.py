@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -109,6 +111,44 @@ def publish(spark: SparkSession, lake: Lake, spec: TableSpec, frame: DataFrame)
     frame.select(*[F.col(f"`{c}`") for c in ordered]).write.mode("overwrite").insertInto(spec.name)
 
 
+def publish_months(
+    spark: SparkSession, lake: Lake, spec: TableSpec, frame: DataFrame, column: str, values: list[str]
+) -> None:
+    """Rewrite the named partitions of a derived table and leave the others alone.
+
+    ``frame`` is the whole definition of the table; the filter prunes its source.
+    """
+    ensure_table(spark, lake, spec)
+    if not values:
+        return
+    ordered = spark.table(spec.name).columns
+    wanted = frame.filter(F.col(column).isin(values)).select(*[F.col(f"`{c}`") for c in ordered])
+    with dynamic_overwrite(spark):
+        wanted.write.mode("overwrite").insertInto(spec.name)
+
+
+@contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only partitions that receive rows, for the writes inside the block."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def partition_values(spark: SparkSession, table: str) -> list[dict[str, str]]:
+    """Partitions as the catalogue knows them; no file is touched."""
+    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return [dict(part.split("=", 1) for part in row["partition"].split("/")) for row in rows]
+
+
 def replace_partition(frame: DataFrame, table: str, column: str, value: str) -> None:
     """Overwrite one partition, also when the new content is empty."""
     spark = frame.sparkSession

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from meterlake.contracts import Contract
 from meterlake.operators.bronze import bronze_rows
@@ -21,6 +22,7 @@ from meterlake.sources.landing import FILE_LISTING_SCHEMA, read_footers, schema_
 from meterlake.sources.tables import Lake, TableSpec, ensure_table
 
 BATCH_COLUMN = "_ingest_batch"
+STREAM_PROPERTY = "meterlake.stream_id"
 BRONZE_PARTITIONS = ("_reference_month", BATCH_COLUMN)
 MAX_FILES_PER_BATCH = 10_000
 
@@ -67,14 +69,14 @@ def file_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_B
     )
 
 
-def ingest_service(
+def start_ingest(
     spark: SparkSession,
     lake: Lake,
     contract: Contract,
     properties: dict[str, str] | None = None,
     max_files: int = MAX_FILES_PER_BATCH,
-) -> str:
-    """Bring the bronze table of one service up to date and return its name."""
+) -> StreamingQuery:
+    """Start bringing the bronze table of one service up to date."""
     table = bronze_table(lake, contract)
     ensure_table(spark, lake, bronze_spec(lake, contract, properties))
 
@@ -91,7 +93,7 @@ def ingest_service(
         ordered = session.table(table).columns
         rows.select(*ordered).write.mode("overwrite").insertInto(table)
 
-    query = (
+    return (
         file_stream(spark, f"{lake.landing_path}/{contract.dataset}", max_files)
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", lake.checkpoint(table))
@@ -99,6 +101,33 @@ def ingest_service(
         .queryName(f"ingest_{contract.dataset}")
         .start()
     )
-    query.awaitTermination()
-    spark.catalog.refreshTable(table)
-    return table
+
+
+def ingest_services(
+    spark: SparkSession,
+    lake: Lake,
+    contracts: list[Contract],
+    properties: dict[str, dict[str, str]] | None = None,
+    max_files: int = MAX_FILES_PER_BATCH,
+) -> dict[str, str]:
+    """Bring the bronze tables of several services up to date, side by side.
+
+    Returns the table name of each dataset.
+    """
+    properties = properties or {}
+    running = {
+        contract.dataset: start_ingest(spark, lake, contract, properties.get(contract.dataset), max_files)
+        for contract in contracts
+    }
+    try:
+        for query in running.values():
+            query.awaitTermination()
+    finally:
+        for query in running.values():
+            query.stop()
+    tables = {contract.dataset: bronze_table(lake, contract) for contract in contracts}
+    for dataset, table in tables.items():
+        spark.catalog.refreshTable(table)
+        # Tells refreshes of derived tables whose batch numbers they look at.
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{STREAM_PROPERTY}' = '{running[dataset].id}')")
+    return tables

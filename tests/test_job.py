@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake.operators import quality, rules
+from meterlake.operators.silver import silver_trips
 from meterlake.plans import job, quality_store
 from meterlake.session import scratch_dir
 from meterlake.sources import event_trips as fixtures
@@ -33,6 +34,11 @@ def results(spark, config):
     return job.run_job(spark, config).collect()
 
 
+def month_counts(spark) -> dict:
+    counted = spark.table("silver.silver_yellow_trips").groupBy("_reference_month").count()
+    return {r["_reference_month"]: r["count"] for r in counted.collect()}
+
+
 def test_layers_agree(spark, config, results):
     assert {r["layer"] for r in results} == set(rules.LAYERS)
     by_rule = {}
@@ -98,6 +104,36 @@ def test_second_run_adds_nothing(spark, config, results):
     assert all(r[1] == 1 for r in days)
 
 
+def test_only_touched_months_are_rewritten(spark, sf_dir, config, results):
+    """A late file of one month: that month is rebuilt, the result equals a full rebuild."""
+    assert job.refresh_silver(spark, config) == {"yellow": [], "green": [], "fhv": []}
+    before = month_counts(spark)
+    trips = fixtures.event_trips(spark, sf_dir)
+    late = fixtures.drifted_files(trips)["yellow", "2023-12"]
+    late.write.mode("append").option("mapreduce.output.basename", "yellow_tripdata_2023-12").parquet(
+        f"{config.lake.landing_path}/yellow/2023/12"
+    )
+    job.refresh_bronze(spark, config)
+    assert job.refresh_silver(spark, config) == {"yellow": ["2023-12"], "green": [], "fhv": []}
+    job.refresh_gold(spark, config)
+    after = month_counts(spark)
+    assert after == {**before, "2023-12": 2 * before["2023-12"]}
+    rebuilt = silver_trips(
+        spark.table("bronze.bronze_yellow_trips"), config.contracts["yellow"], config.start_month, config.end_month
+    )
+    stored = spark.table("silver.silver_yellow_trips").select(*rebuilt.columns)
+    assert stored.exceptAll(rebuilt).count() == 0 and rebuilt.exceptAll(stored).count() == 0
+    assert spark.table("gold.gold_yellow_trips_consumption").count() == stored.count()
+
+
+def test_another_window_rebuilds_everything(spark, config, results):
+    wider = replace(config, end_month="2024-02")
+    assert job.refresh_silver(spark, wider)["yellow"] is None
+    months = {r[0] for r in spark.table("silver.silver_yellow_trips").select("_reference_month").distinct().collect()}
+    assert months == {"2023-12", "2024-01", "2024-02"}
+    assert job.refresh_silver(spark, config)["yellow"] is None
+
+
 def test_gate_raises_after_storing(spark, config, results):
     document = rules.fixed_rule_document()
     for rule in document["rules"]:

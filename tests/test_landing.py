@@ -12,7 +12,7 @@ from meterlake.contracts import base_contract
 from meterlake.operators import quality
 from meterlake.sources import landing, metadata
 from meterlake.sources.tables import Lake
-from meterlake.streaming.ingest import ingest_service
+from meterlake.streaming.ingest import ingest_services
 
 PICKUP, DROPOFF = datetime(2024, 1, 5, 10), datetime(2024, 1, 5, 11)
 
@@ -34,6 +34,10 @@ def plain(vendor=pa.int64(), passengers=pa.float64()):
     }
 
 
+def ingest(spark, lake) -> str:
+    return ingest_services(spark, lake, [base_contract("yellow")])["yellow"]
+
+
 @pytest.fixture
 def lake(spark, tmp_path):
     suffix = tmp_path.name.replace("-", "_")
@@ -109,7 +113,7 @@ def test_ingestion_is_incremental_and_lossless(spark, lake):
     fee = pa.array([1.25, 2.5])
     write(root, "2023-12", plain(pa.int32(), pa.int64()) | {"Airport_fee": fee})
     write(root, "2024-01", plain() | {"airport_fee": fee, "note": pa.array(["a", None])})
-    table = ingest_service(spark, lake, base_contract("yellow"))
+    table = ingest(spark, lake)
     rows = {
         (r["_reference_month"], r["VendorID"]): (r["airport_fee"], r["_rescued_data"]) for r in spark.table(table).collect()
     }
@@ -121,7 +125,7 @@ def test_ingestion_is_incremental_and_lossless(spark, lake):
     }
     stamps = {r[0] for r in spark.table(table).select("_ingested_at").collect()}
 
-    ingest_service(spark, lake, base_contract("yellow"))
+    ingest(spark, lake)
     assert spark.table(table).count() == 4
 
     # A second file of a known month, and one that brings its own rescue column.
@@ -129,7 +133,7 @@ def test_ingestion_is_incremental_and_lossless(spark, lake):
     rescued = pa.array(['{"total_amount": "7.5", "Airport_fee": "0.5"}', None])
     late = plain() | {"total_amount": pa.array([None, 4.0], pa.float64()), "_rescued_data": rescued}
     write(root, "2024-02", late)
-    ingest_service(spark, lake, base_contract("yellow"))
+    ingest(spark, lake)
     stored = spark.table(table)
     assert stored.count() == 8
     assert stored.filter("_reference_month = '2023-12'").count() == 4
@@ -143,7 +147,7 @@ def test_both_spellings_in_one_file(spark, lake):
     """The last spelling feeds the contract column, the other one is kept as rescued data."""
     columns = plain() | {"airport_fee": pa.array([1.0, 2.0]), "Airport_fee": pa.array([3.0, 4.0])}
     write(Path(lake.landing_path), "2024-01", columns)
-    table = ingest_service(spark, lake, base_contract("yellow"))
+    table = ingest(spark, lake)
     rows = {r["VendorID"]: (r["airport_fee"], r["_rescued_data"]) for r in spark.table(table).collect()}
     assert rows == {1: (3.0, '{"airport_fee":1.0}'), 2: (4.0, '{"airport_fee":2.0}')}
 
@@ -151,11 +155,11 @@ def test_both_spellings_in_one_file(spark, lake):
 def test_a_replayed_batch_replaces_itself(spark, lake):
     """Losing the commit of a batch makes the stream run it again."""
     write(Path(lake.landing_path), "2024-01", plain())
-    table = ingest_service(spark, lake, base_contract("yellow"))
+    table = ingest(spark, lake)
     commits = Path(lake.checkpoint(table)) / "commits"
     for entry in [*commits.glob("0"), *commits.glob(".0.crc")]:
         entry.unlink()
-    ingest_service(spark, lake, base_contract("yellow"))
+    ingest(spark, lake)
     assert spark.table(table).count() == 2
 
 
@@ -163,7 +167,7 @@ def test_unreadable_files_do_not_stop_the_others(spark, lake):
     root = Path(lake.landing_path)
     write(root, "2024-01", plain())
     (root / "yellow" / "2024" / "01" / "yellow_tripdata_2024-02.parquet").write_bytes(b"<html></html>")
-    table = ingest_service(spark, lake, base_contract("yellow"))
+    table = ingest(spark, lake)
     assert spark.table(table).count() == 2
 
 
