@@ -259,6 +259,7 @@ def refresh_gold(spark: SparkSession, config: JobConfig) -> None:
         gold.gold_consumption(yellow),
         bronze_table(config.lake, config.contracts["yellow"]),
         _window(config),
+        silver_table(config, "yellow"),
     )
     hourly = gold.passengers_by_hour(yellow, green, config.passenger_month)
     publish(spark, config.lake, specs[hourly_table(config)], hourly)

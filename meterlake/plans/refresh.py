@@ -40,27 +40,35 @@ def latest_batches(spark: SparkSession, bronze: str) -> dict[str, int]:
 
 
 def refresh_months(
-    spark: SparkSession, lake: Lake, spec: TableSpec, frame: DataFrame, bronze: str, window: str
+    spark: SparkSession,
+    lake: Lake,
+    spec: TableSpec,
+    frame: DataFrame,
+    bronze: str,
+    window: str,
+    upstream: str | None = None,
 ) -> list[str] | None:
     """Bring ``spec`` up to date with ``bronze``; returns the months rewritten, or None for all.
 
     The batches are looked up before any row is read: a batch that arrives meanwhile is
-    at worst processed again by the next refresh.
+    at worst processed again by the next refresh. With ``upstream``, the table between
+    bronze and this one, nothing counts as seen that the table in between has not seen.
     """
     ensure_table(spark, lake, spec)
     latest = latest_batches(spark, bronze)
-    stream = table_properties(spark, bronze).get(STREAM_PROPERTY, "")
+    source = table_properties(spark, upstream or bronze)
+    origin = source.get(DEFINITION if upstream else STREAM_PROPERTY)
+    reached = int(source.get(THROUGH, -1)) if upstream else max(latest.values(), default=-1)
     schema = hashlib.sha256(spec.schema.json().encode()).hexdigest()
-    definition = f"{stream} {window} {schema}"
+    definition = f"{origin} {window} {schema}"
     known = table_properties(spark, spec.name)
     months: list[str] | None = None
-    if stream and known.get(DEFINITION) == definition:
+    if origin and known.get(DEFINITION) == definition:
         through = int(known[THROUGH])
         months = sorted(month for month, batch in latest.items() if batch > through)
         publish_months(spark, lake, spec, frame, MONTH, months)
     else:
         publish(spark, lake, spec, frame)
-    reached = max(latest.values(), default=-1)
     spark.sql(
         f"ALTER TABLE {spec.name} SET TBLPROPERTIES "
         f"({sql_text(DEFINITION)} = {sql_text(definition)}, {sql_text(THROUGH)} = '{reached}')"

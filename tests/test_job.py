@@ -114,6 +114,8 @@ def test_only_touched_months_are_rewritten(spark, sf_dir, config, results):
         f"{config.lake.landing_path}/yellow/2023/12"
     )
     job.refresh_bronze(spark, config)
+    # Gold before silver: it must not take the late file for processed.
+    job.refresh_gold(spark, config)
     assert job.refresh_silver(spark, config) == {"yellow": ["2023-12"], "green": [], "fhv": []}
     job.refresh_gold(spark, config)
     after = month_counts(spark)
