@@ -68,6 +68,8 @@ def refresh_months(
         months = sorted(month for month, batch in latest.items() if batch > through)
         publish_months(spark, lake, spec, frame, MONTH, months)
     else:
+        # A rebuild that dies half way must not be taken for the state remembered before.
+        spark.sql(f"ALTER TABLE {spec.name} UNSET TBLPROPERTIES IF EXISTS ('{DEFINITION}', '{THROUGH}')")
         publish(spark, lake, spec, frame)
     spark.sql(
         f"ALTER TABLE {spec.name} SET TBLPROPERTIES "

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from meterlake.contracts import Contract, base_contract, base_contracts, contract_fields, union_all
 from meterlake.functions.columns import lenient_cast, rescued_values
-from meterlake.functions.months import month_of_name
+from meterlake.functions.months import month_label, month_of_name, month_start
 from meterlake.operators import coverage as field_coverage
 from meterlake.operators import dictionary, gold, quality, rules
 from meterlake.operators.bronze import bronze_rows
@@ -121,8 +121,11 @@ def landing_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(priority == "3-MEDIUM", "fhv")
         .otherwise("other")
     )
-    present = fixtures.table(spark, sf_dir, "orders").select(
-        service.alias("service"), F.date_format("o_orderdate", "yyyy-MM").alias("reference_month")
+    present = (
+        fixtures.table(spark, sf_dir, "orders")
+        .select(service.alias("service"), month_start(F.col("o_orderdate")).alias("month"))
+        .distinct()
+        .select("service", month_label(F.col("month")).alias("reference_month"))
     )
     return landing.landing_gaps(present, ["yellow", "green", "fhv", "fhvhv"], "1994-10", "2001-10")
 

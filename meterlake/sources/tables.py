@@ -62,9 +62,18 @@ def ensure_table(spark: SparkSession, lake: Lake, spec: TableSpec) -> None:
     """Register the table if this catalogue lacks it; data already at its place is kept.
 
     The columns keep their whole metadata, not only the comment. A catalogue that lives as
-    long as the session finds earlier partitions again through the repair.
+    long as the session finds earlier partitions again through the repair. A table from an
+    older contract gains the columns it lacks; rows stored before read null there.
     """
-    if not spark.catalog.tableExists(spec.name):
+    if spark.catalog.tableExists(spec.name):
+        stored_names = {name.lower() for name in spark.table(spec.name).columns}
+        added = [f for f in spec.schema.fields if f.name.lower() not in stored_names]
+        if added:
+            columns = ", ".join(
+                f"`{f.name}` {f.dataType.simpleString()} COMMENT {sql_text(f.metadata.get('comment', ''))}" for f in added
+            )
+            spark.sql(f"ALTER TABLE {spec.name} ADD COLUMNS ({columns})")
+    else:
         if spec.partition_by:
             stored = T.StructType(
                 [f for f in spec.schema.fields if f.name not in spec.partition_by]

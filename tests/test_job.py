@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from meterlake.operators import quality, rules
 from meterlake.operators.silver import silver_trips
 from meterlake.plans import job, quality_store
+from meterlake.plans.refresh import refresh_months
 from meterlake.session import scratch_dir
 from meterlake.sources import event_trips as fixtures
 from meterlake.sources.tables import Lake
@@ -136,6 +137,31 @@ def test_another_window_rebuilds_everything(spark, config, results):
     assert job.refresh_silver(spark, config)["yellow"] is None
 
 
+def test_a_failed_rebuild_is_not_taken_for_done(spark, config, results):
+    wider = replace(config, end_month="2024-02")
+    contract = config.contracts["yellow"]
+    spec = job.table_specs(wider)["silver.silver_yellow_trips"]
+    source = spark.table("bronze.bronze_yellow_trips")
+    broken = silver_trips(source, contract, "2023-12", "2024-02").withColumn(
+        "vendor_id", F.raise_error(F.lit("lost")).cast("long")
+    )
+    with pytest.raises(Exception, match="lost"):
+        refresh_months(spark, config.lake, spec, broken, "bronze.bronze_yellow_trips", "2023-12..2024-02")
+    assert job.refresh_silver(spark, config)["yellow"] is None
+    expected = source.filter(F.col("_reference_month").between("2023-12", "2024-01")).count()
+    assert spark.table("silver.silver_yellow_trips").count() == expected
+
+
+def test_plain_sql_over_the_tables(spark, config, results):
+    row = spark.sql(
+        "SELECT count(*) AS n, percentile_approx(total_amount, 0.5) AS middle, "
+        "count_if(timestampdiff(SECOND, tpep_pickup_datetime, tpep_dropoff_datetime) < 0) AS negative "
+        "FROM gold.gold_yellow_trips_consumption WHERE _reference_month BETWEEN '2023-12' AND '2024-01'"
+    ).first()
+    assert row["n"] == spark.table("silver.silver_yellow_trips").count()
+    assert row["middle"] > 0 and row["negative"] > 0
+
+
 def test_gate_raises_after_storing(spark, config, results):
     document = rules.fixed_rule_document()
     for rule in document["rules"]:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 from pathlib import Path
 
@@ -8,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from meterlake.contracts import base_contract
+from meterlake.contracts import ContractColumn, base_contract
 from meterlake.operators import quality
 from meterlake.sources import landing, metadata
 from meterlake.sources.tables import Lake
@@ -143,6 +144,22 @@ def test_ingestion_is_incremental_and_lossless(spark, lake):
     assert february[2]["total_amount"] == 4.0
 
 
+def test_a_longer_contract_widens_the_table(spark, lake):
+    root, contract = Path(lake.landing_path), base_contract("yellow")
+    write(root, "2024-01", plain() | {"meter_note": pa.array(["a", "b"])})
+    table = ingest(spark, lake)
+    longer = replace(contract, columns=(*contract.columns, ContractColumn("meter_note", "string", "Driver's note")))
+    write(root, "2024-02", plain() | {"meter_note": pa.array(["c", "d"])})
+    ingest_services(spark, lake, [longer])
+    rows = {(r["_reference_month"], r["meter_note"], r["_rescued_data"]) for r in spark.table(table).collect()}
+    assert rows == {
+        ("2024-01", None, '{"meter_note":"a"}'),
+        ("2024-01", None, '{"meter_note":"b"}'),
+        ("2024-02", "c", None),
+        ("2024-02", "d", None),
+    }
+
+
 def test_both_spellings_in_one_file(spark, lake):
     """The last spelling feeds the contract column, the other one is kept as rescued data."""
     columns = plain() | {"airport_fee": pa.array([1.0, 2.0]), "Airport_fee": pa.array([3.0, 4.0])}

@@ -12,6 +12,7 @@ from meterlake.operators import gold, quality
 from meterlake.operators.silver import silver_trips
 from meterlake.plans import quality_store, quality_views, registry
 from meterlake.session import scratch_dir
+from meterlake.sources import metadata
 from meterlake.sources.tables import Lake, TableSpec, publish
 
 
@@ -101,3 +102,51 @@ def test_long_histories_are_reduced_before_the_shuffle(spark, stored):
     text = plan(quality_views.execution_summary(quality_store.history(spark, lake))).split("\n\n")[0]
     before, after = text.split("Exchange")
     assert "WindowGroupLimit" in before and "WindowGroupLimit" in after
+
+
+def test_a_hot_key_beyond_broadcast_size(spark):
+    """A third of the trips at one location, a third nowhere, and no broadcast allowed."""
+    trips = spark.range(3000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.col("id") % 200).cast("long").alias("pu"),
+        (F.col("id") % 50).alias("do"),
+    )
+    zones = spark.range(100).select(
+        F.col("id").cast("int").alias("LocationID"),
+        F.concat(F.lit("b"), F.col("id")).alias("Borough"),
+        F.concat(F.lit("z"), F.col("id")).alias("Zone"),
+        F.lit("s").alias("service_zone"),
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        enriched = metadata.zone_enrichment(trips, zones, "pu", "do")
+        assert "SortMergeJoin" in plan(enriched)
+        rows = enriched.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(rows) == 3000
+    for r in rows:
+        assert r["pickup_zone"] == (f"z{r['pu']}" if r["pu"] is not None and r["pu"] < 100 else None)
+        assert r["dropoff_zone"] == f"z{r['do']}"
+
+
+def test_one_hour_and_one_service_holding_most_trips(spark):
+    def trips(prefix, service, n):
+        return spark.range(n).selectExpr(
+            "CASE WHEN id % 10 < 8 THEN TIMESTAMP '2024-01-05 07:30:00' ELSE TIMESTAMP '2024-01-06 09:00:00' END "
+            f"AS {prefix}_pickup_datetime",
+            "double(CASE WHEN id % 4 = 0 THEN NULL WHEN id % 4 = 1 THEN 0 ELSE 2 END) AS passenger_count",
+            f"'{service}' AS _service_type",
+            f"'{service}.parquet' AS _source_file",
+            "TIMESTAMP '2024-02-01 00:00:00' AS _ingested_at",
+        )
+
+    rows = gold.passengers_by_hour(trips("tpep", "yellow", 10000), trips("lpep", "green", 100), "2024-01").collect()
+    found = {r["hour_of_day"]: (r["trips_considered"], r["green_trips_considered"], r["trips_discarded"]) for r in rows}
+    # ids repeat every 20: eight of ten fall into hour 7, half of all count passengers.
+    considered = {h: sum(1 for n in (10000, 100) for i in range(n) if (i % 10 < 8) == (h == 7) and i % 4 > 1) for h in (7, 9)}
+    green = {h: sum(1 for i in range(100) if (i % 10 < 8) == (h == 7) and i % 4 > 1) for h in (7, 9)}
+    total = {7: 8080, 9: 2020}
+    assert found == {h: (considered[h], green[h], total[h] - considered[h]) for h in (7, 9)}
+    assert all(r["_source_files"] == ["green.parquet", "yellow.parquet"] for r in rows)
