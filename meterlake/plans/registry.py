@@ -169,7 +169,7 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(frames)
 
 
-def _scratch_lake(spark: SparkSession, landing_path: str) -> Lake:
+def _scratch_lake(spark: SparkSession, landing_path: str = "") -> Lake:
     root = scratch_dir(spark, "lake")
     suffix = root.rsplit("-", 1)[-1][:12]
     lake = Lake(
@@ -396,7 +396,7 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs stored; the second shares its local day with the third and gives way."""
-    lake = _scratch_lake(spark, staged_landing(spark, sf_dir))
+    lake = _scratch_lake(spark)
     quality_store.setup(spark, lake)
     for run in (FIRST_RUN, REPLACED_RUN, LAST_RUN):
         quality_store.record(spark, lake, _graded_run(spark, sf_dir, run), run)

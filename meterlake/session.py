@@ -29,6 +29,9 @@ def build_session(app_name: str = "meterlake", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
@@ -38,8 +41,10 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="meterlake-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        if context.applicationId not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="meterlake-")
+        shared = _LOCAL_FOLDERS[context.applicationId]
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

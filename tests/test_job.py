@@ -8,6 +8,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from meterlake.__main__ import main
 from meterlake.operators import quality, rules
 from meterlake.operators.silver import silver_trips
 from meterlake.plans import job, quality_store
@@ -185,3 +186,13 @@ def test_tables_survive_a_new_catalogue(spark, config, results):
     job.register_tables(spark, config)
     assert spark.table("silver.silver_yellow_trips").count() == count
     assert spark.table("gold.gold_taxi_passengers_by_hour").count() == hourly
+
+
+def test_command_line(spark, config, results):
+    common = ["--root", config.lake.root, "--landing", config.lake.landing_path, "--start-month", "2023-12"]
+    main(["quality", *common, "--end-month", "2024-01", "--layers", "silver,gold"])
+    latest = spark.sql("SELECT max_by(execution_id, executed_at) FROM quality.dq_rule_results").first()[0]
+    stored = spark.table("quality.dq_rule_results").filter(F.col("execution_id") == latest)
+    assert {r["layer"] for r in stored.collect()} == {"silver", "gold"}
+    with pytest.raises(ValueError, match="copper"):
+        main(["quality", *common, "--end-month", "2024-01", "--layers", "copper"])
