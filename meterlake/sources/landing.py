@@ -18,11 +18,8 @@ from pyspark.sql import types as T
 from meterlake.contracts import union_all
 from meterlake.functions.months import month_of_name, month_sequence
 
-# How a landing path is laid out and when a late month is tolerated.
-FIXED_FILE_NAME = "{service}_tripdata_{month}.parquet"
-FIXED_MONTH_FOLDER = "{service}/{year}/{number}"
+# When a late month is tolerated and how short a Parquet file can be.
 FIXED_TOLERATED_MONTHS = 2
-FIXED_PARQUET_MAGIC = b"PAR1"
 FIXED_MINIMUM_BYTES = 8
 
 FILE_LISTING_SCHEMA = T.StructType(
@@ -197,31 +194,33 @@ class SchemaGroup:
         return spark.read.schema(self.schema).parquet(*self.paths)
 
 
+class UnreadableFiles(RuntimeError):
+    """Landing files whose footers cannot be read."""
+
+
 def schema_groups(spark: SparkSession, footers: DataFrame) -> list[SchemaGroup]:
     """Collect file paths by physical schema.
 
     What reaches the driver is file metadata, the same list a Parquet read holds there
-    anyway; a streaming batch bounds it with ``maxFilesPerTrigger``.
+    anyway; a streaming batch bounds it with ``maxFilesPerTrigger``. A file that is not
+    readable Parquet is an error: leaving it out would lose its month unnoticed.
     """
     by_schema: dict[str, list[str]] = {}
-    listing = footers.filter(F.col("fields").isNotNull()).select(
-        "path", F.sha2(F.to_json("fields"), 256).alias("fingerprint")
-    )
-    for row in listing.collect():
-        by_schema.setdefault(row["fingerprint"], []).append(row["path"])
+    unreadable = []
+    for row in footers.select("path", F.sha2(F.to_json("fields"), 256).alias("fingerprint")).collect():
+        if row["fingerprint"] is None:
+            unreadable.append(row["path"])
+        else:
+            by_schema.setdefault(row["fingerprint"], []).append(row["path"])
+    if unreadable:
+        shown = ", ".join(sorted(unreadable)[:5])
+        raise UnreadableFiles(f"{len(unreadable)} landing file(s) are not readable Parquet, among them {shown}")
     return [
         SchemaGroup(spark.read.parquet(paths[0]).schema, tuple(sorted(paths)))
         for _, paths in sorted(by_schema.items())
     ]
 
 
-def month_folders(root: str, service: str, start_month: str, end_month: str) -> list[str]:
-    return [
-        f"{root}/{FIXED_MONTH_FOLDER.format(service=service, year=m[:4], number=m[5:])}"
-        for m in month_sequence(start_month, end_month)
-    ]
-
-
 def landing_canonical(
     spark: SparkSession, root: str, service: str, start_month: str, end_month: str, project
 ) -> DataFrame:
@@ -234,7 +233,7 @@ def landing_canonical(
     )
     groups = schema_groups(spark, read_footers(window))
     if not groups:
-        raise FileNotFoundError(f"no readable {service} file between {start_month} and {end_month} below {root}")
+        raise FileNotFoundError(f"no {service} file between {start_month} and {end_month} below {root}")
     return union_all(
         [
             project(

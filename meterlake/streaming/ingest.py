@@ -4,7 +4,9 @@ The stream lists files; it does not read them. Each micro-batch groups its new f
 footer schema and reads them with the batch code of ``operators.bronze``, because a
 streaming Parquet read would need one schema for all months.
 
-Every file is processed once: the checkpoint remembers it. A batch that is replayed after
+Every file is processed once: the checkpoint remembers it. A file that cannot be read
+stops its batch before anything is stored, and the batch is tried again on the next run.
+A batch that is replayed after
 a failure overwrites exactly the partitions it wrote before, because the batch number is
 part of the partition, so a month may also arrive in several files over several batches.
 """

@@ -7,6 +7,7 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from meterlake.contracts import ContractColumn, base_contract
@@ -180,12 +181,20 @@ def test_a_replayed_batch_replaces_itself(spark, lake):
     assert spark.table(table).count() == 2
 
 
-def test_unreadable_files_do_not_stop_the_others(spark, lake):
+def test_an_unreadable_file_is_not_lost(spark, lake):
+    """Its batch stops, and goes through once the file is repaired under the same name."""
     root = Path(lake.landing_path)
     write(root, "2024-01", plain())
-    (root / "yellow" / "2024" / "01" / "yellow_tripdata_2024-02.parquet").write_bytes(b"<html></html>")
+    broken = root / "yellow" / "2024" / "02" / "yellow_tripdata_2024-02.parquet"
+    broken.parent.mkdir(parents=True)
+    broken.write_bytes(b"<html></html>")
+    with pytest.raises(StreamingQueryException, match="yellow_tripdata_2024-02"):
+        ingest(spark, lake)
+    assert spark.table(f"{lake.bronze}.bronze_yellow_trips").count() == 0
+    write(root, "2024-02", plain())
     table = ingest(spark, lake)
-    assert spark.table(table).count() == 2
+    counted = spark.table(table).groupBy("_reference_month").count().collect()
+    assert {r["_reference_month"]: r["count"] for r in counted} == {"2024-01": 2, "2024-02": 2}
 
 
 def test_artifacts(spark, tmp_path):
