@@ -14,7 +14,7 @@ from meterlake.sources.tables import Lake
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="meterlake", description=__doc__)
-    parser.add_argument("step", choices=("run", "ingest", "silver", "gold", "quality-setup", "quality"))
+    parser.add_argument("step", choices=("run", "check-landing", "ingest", "silver", "gold", "quality-setup", "quality"))
     parser.add_argument("--root", required=True, help="shared folder of the stored layers")
     parser.add_argument("--landing", required=True, help="folder of the landing files")
     parser.add_argument("--start-month", required=True, help="first month, yyyy-MM")
@@ -42,6 +42,9 @@ def main(argv: list[str] | None = None) -> None:
         contracts=read_contracts(spark, args.contracts) if args.contracts else base_contracts(),
         rule_document=document,
     )
+    if args.step == "check-landing":
+        job.check_landing(spark, config)
+        return
     job.register_tables(spark, config)
     if args.step == "run":
         job.run_job(spark, config)

@@ -214,6 +214,32 @@ def _gold_specs(config: JobConfig) -> list[TableSpec]:
     ]
 
 
+class LandingProblem(RuntimeError):
+    """Landing files of the window are missing or damaged."""
+
+
+def check_landing(spark: SparkSession, config: JobConfig) -> None:
+    """Stop unless the window is complete: every file intact, no month missing before its end.
+
+    Only the files of the window are opened, and of each only its first bytes and footer.
+    """
+    in_window = F.col("reference_month").between(config.start_month, config.end_month)
+    files = landing.with_identity(landing.list_files(spark, config.lake.landing_path)).filter(
+        F.col("service").isin(*config.services) & (in_window | (F.col("reference_month") == ""))
+    )
+    damaged = landing.landing_integrity(landing.read_footers(files)).filter(F.col("status") != "INTACT")
+    gaps = landing.landing_gaps(files, list(config.services), config.start_month, config.end_month)
+    problems = damaged.select(F.col("file_name").alias("subject"), "status").unionByName(
+        gaps.filter(~F.col("tolerated")).select(
+            F.concat_ws(" ", "service", "reference_month").alias("subject"), F.lit("MISSING").alias("status")
+        )
+    )
+    # The message names a few; the two reports hold all of them.
+    shown = problems.orderBy("subject").take(10)
+    if shown:
+        raise LandingProblem("; ".join(f"{row['subject']}: {row['status']}" for row in shown))
+
+
 def refresh_bronze(spark: SparkSession, config: JobConfig) -> None:
     contracts = [config.contracts[service] for service in config.services]
     ingest_services(spark, config.lake, contracts, {c.dataset: _service_properties(c) for c in contracts})
@@ -314,7 +340,11 @@ def _layer(spark: SparkSession, config: JobConfig, name: str) -> quality.Layer:
 
 
 def run_job(spark: SparkSession, config: JobConfig) -> DataFrame:
-    """Bronze and silver, gate, gold, consolidated evaluation. Returns the last results."""
+    """Landing check, bronze and silver, gate, gold, consolidated evaluation.
+
+    Returns the last results.
+    """
+    check_landing(spark, config)
     register_tables(spark, config)
     refresh_bronze(spark, config)
     refresh_metadata(spark, config)

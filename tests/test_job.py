@@ -188,6 +188,16 @@ def test_tables_survive_a_new_catalogue(spark, config, results):
     assert spark.table("gold.gold_taxi_passengers_by_hour").count() == hourly
 
 
+def test_incomplete_landing_stops_the_run(spark, config, results):
+    job.check_landing(spark, config)
+    # The last two months of a window may still be on their way, the ones before may not.
+    job.check_landing(spark, replace(config, end_month="2024-04"))
+    with pytest.raises(job.LandingProblem, match="fhv 2024-03: MISSING; green 2024-03: MISSING; yellow 2024-03"):
+        job.check_landing(spark, replace(config, end_month="2024-05"))
+    with pytest.raises(job.LandingProblem, match="fhvhv 2023-10: MISSING"):
+        job.run_job(spark, replace(config, services=("yellow", "fhvhv"), start_month="2023-10"))
+
+
 def test_command_line(spark, config, results):
     common = ["--root", config.lake.root, "--landing", config.lake.landing_path, "--start-month", "2023-12"]
     main(["quality", *common, "--end-month", "2024-01", "--layers", "silver,gold"])
