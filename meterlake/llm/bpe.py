@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -23,9 +24,11 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.common import pieces, whole_text
 
-#: Entries of a cache at which its older half goes; only speed depends on it.
-CACHE_ENTRIES = 150_000
+#: Parts kept from batch to batch; at this many the older half goes. Only speed depends on it.
+CACHE_ENTRIES = 400_000
+FITS_ENTRIES = 500_000
 _NEVER = 1 << 60
+_SHORT = ((), (1,), (2, 1), (3, 2, 1), (4, 3, 2, 1))
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -41,10 +44,12 @@ class Vocabulary:
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
-        self.longest: dict[bytes, int] = {}
+        self.longest = max(map(len, ranks))
+        self.lengths: dict[bytes, list[int]] = {}  # by the last four bytes: lengths of tokens over four bytes
         self._fits: dict[int, bool] = {}
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
-            self.longest[token[-2:]] = max(self.longest.get(token[-2:], 1), len(token))
+            if len(token) > 4 and len(token) not in (known := self.lengths.setdefault(token[-4:], [])):
+                known.append(len(token))
             for cut in range(1, len(token)):
                 a, b = ranks.get(token[:cut], _NEVER), ranks.get(token[cut:], _NEVER)
                 if a < rank and b < rank and self._seam_holds(a, b, rank):
@@ -73,30 +78,36 @@ class Vocabulary:
             else:
                 until_a, a = a, right[a]
 
-    def fits(self, a: int, b: int) -> bool:
-        key = a << 32 | b
-        known = self._fits.get(key)
-        if known is None:
-            if len(self._fits) > 4 * CACHE_ENTRIES:
-                self._fits.clear()
-            known = self._fits[key] = self._seam_holds(a, b)
-        return known
-
-    def last_token(self, data: bytes, end: int, last: list[int]) -> int:
-        """The last token of ``data[:end]``, given those of all shorter prefixes."""
-        ranks, fits = self.ranks, self.fits
-        longest = self.longest.get(data[max(0, end - 2) : end], 1)
-        for start in range(max(0, end - longest), end):
-            token = ranks.get(data[start:end])
-            if token is not None and (start == 0 or fits(last[start], token)):
-                return token
-        raise ValueError(f"no token ends at byte {end}")
+    def extend(self, data: bytes, last: list[int], stop: int | None = None) -> None:
+        """Add the last tokens of the prefixes of ``data`` that ``last`` lacks, up to ``stop`` bytes."""
+        ranks, fits, lengths = self.ranks, self._fits, self.lengths
+        for end in range(len(last), (len(data) if stop is None else stop) + 1):
+            # Only one token is right, so the lengths are tried as they are likely.
+            for length in (3, 2, 4, *lengths.get(data[end - 4 : end], ()), 1) if end > 4 else _SHORT[end]:
+                start = end - length
+                if start < 0:
+                    continue
+                token = ranks.get(data[start:end])
+                if token is None:
+                    continue
+                if start == 0:
+                    break
+                pair = last[start] << 32 | token
+                holds = fits.get(pair)
+                if holds is None:
+                    if len(fits) > FITS_ENTRIES:
+                        fits.clear()
+                    holds = fits[pair] = self._seam_holds(last[start], token)
+                if holds:
+                    break
+            else:
+                raise ValueError(f"no token ends at byte {end}")
+            last.append(token)
 
     def prefixes(self, data: bytes) -> list[int]:
         """The last token of each prefix; entry 0 stands for the empty one."""
         last = [-1]
-        for end in range(1, len(data) + 1):
-            last.append(self.last_token(data, end, last))
+        self.extend(data, last)
         return last
 
     def ids(self, last: list[int]) -> list[int]:
@@ -110,6 +121,20 @@ class Vocabulary:
     def encode(self, data: bytes) -> list[int]:
         return self.ids(self.prefixes(data))
 
+    def encode_all(self, pieces: set[str]) -> dict[str, list[int]]:
+        """The encodings of many pieces: in sorted order each one's table goes on from the prefix it shares with the one before."""
+        out, before, last = {}, b"", [-1]
+        for piece in sorted(pieces):
+            data = piece.encode()
+            shared, most = 0, min(len(data), len(before))
+            while shared < most and data[shared] == before[shared]:
+                shared += 1
+            del last[shared + 1 :]
+            self.extend(data, last)
+            out[piece] = self.ids(last)
+            before = data
+        return out
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -122,10 +147,8 @@ class PrefixTable:
         self.last = vocabulary.prefixes(data)
 
     def append(self, more: bytes) -> None:
-        start = len(self.data)
         self.data += more
-        for end in range(start + 1, len(self.data) + 1):
-            self.last.append(self.vocabulary.last_token(self.data, end, self.last))
+        self.vocabulary.extend(self.data, self.last)
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Put ``new`` for data[start:stop]; returns how many prefixes were computed anew.
@@ -135,9 +158,9 @@ class PrefixTable:
         """
         old, shift = self.last, len(new) - (stop - start)
         self.data = self.data[:start] + new + self.data[stop:]
-        last, reach, same = old[: start + 1], max(self.vocabulary.longest.values()), 0
+        last, reach, same = old[: start + 1], self.vocabulary.longest, 0
         for end in range(start + 1, len(self.data) + 1):
-            last.append(self.vocabulary.last_token(self.data, end, last))
+            self.vocabulary.extend(self.data, last, end)
             past = end - shift > stop
             same = same + 1 if past and last[end] == old[end - shift] else 0
             if same > reach:
@@ -150,69 +173,61 @@ class PrefixTable:
         return self.vocabulary.ids(self.last if end is None else self.last[: end + 1])
 
 
-class _Cache(dict):
-    """A dictionary that forgets its older half when full."""
-
-    def put(self, key, value):
-        if len(self) >= CACHE_ENTRIES:
-            for old in list(self)[: CACHE_ENTRIES // 2]:
-                del self[old]
-        self[key] = value
-        return value
-
-
 class Encoder:
-    """Texts to ids: each match of the pattern is encoded by itself."""
+    """Texts to ids: each match of the pattern is encoded by itself.
+
+    The pattern never matches across a space between two other characters, save at the space itself. So what stands between
+    such spaces is split and looked up by itself; what was not met before is encoded for a batch at once.
+    """
 
     def __init__(self, vocabulary: Vocabulary, pattern: str) -> None:
         self.vocabulary = vocabulary
         self.find = regex.compile(pattern).findall
-        self.by_piece, self.by_chunk = _Cache(), _Cache()
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        known = self.by_piece.get(piece)
-        if known is None:
-            known = self.by_piece.put(piece, tuple(self.vocabulary.encode(piece.encode())))
-        return known
-
-    def _chunk(self, text: str) -> tuple[int, ...]:
-        out: list[int] = []
-        for piece in self.find(text):
-            out += self._piece(piece)
-        return tuple(out)
-
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text.
-
-        The pattern never matches across a space between two other characters, save at the space itself, so what
-        stands between such spaces can be split and looked up by itself.
-        """
-        first, *rest = text.split(" ")
-        known, out, held = self.by_chunk, [], None
-        if rest and (not first or first[-1].isspace()):
-            held = first
-        else:
-            out.extend(self._chunk(first))
-        for part in rest:
-            if held is None and (ids := known.get(part)) is not None:
-                out += ids
-            elif not part or part[-1].isspace():
-                held = f" {part}" if held is None else f"{held} {part}"
-            elif held is not None:
-                out += self._chunk(f"{held} {part}")
-                held = None
+        self.odd = regex.compile(r"\s ").search
+        self.known: dict[str, tuple[str, bytes]] = {}  # a part with the space before it: its ids, decoded again
+        self.names = {r: f" {r}" for r in vocabulary.bytes_of}
+
+    def _matches(self, part: str) -> list[str]:
+        """The pattern's matches in a space and ``part``; letters, and letters before one mark, need no search."""
+        if part.isalpha():
+            return [" " + part]
+        if part and part[-1] in ".,;:" and part[:-1].isalpha():
+            return [" " + part[:-1], part[-1]]
+        return self.find(" " + part)
+
+    def _coded(self, ids: Iterable[int]) -> tuple[str, bytes]:
+        ids = list(ids)
+        return "".join(map(self.names.__getitem__, ids)), self.vocabulary.decode(ids)
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Of each text: its ids in decimal, each after a space, and the bytes that they decode to."""
+        known = self.known
+        if len(known) > CACHE_ENTRIES:
+            for part in list(known)[: CACHE_ENTRIES // 2]:
+                del known[part]
+        plans, missing, pieces = [], set(), set()
+        for text in texts:
+            if self.odd(text):
+                head, parts = self.find(text), []
             else:
-                ids = self._chunk(f" {part}")
-                out += known.put(part, ids) if len(part) < 40 else ids
-        if held is not None:
-            out += self._chunk(held)
-        return out
+                first, *parts = text.split(" ")
+                head = self.find(first)
+                missing |= set(parts).difference(known)
+            pieces.update(head)
+            plans.append((head, parts))
+        matches = {part: self._matches(part) for part in missing}
+        pieces.update(chain.from_iterable(matches.values()))
+        ids_of = self.vocabulary.encode_all(pieces)
+        for part, found in matches.items():
+            known[part] = self._coded(chain.from_iterable(map(ids_of.__getitem__, found)))
+        for head, parts in plans:
+            rows = [self._coded(chain.from_iterable(map(ids_of.__getitem__, head))), *map(known.__getitem__, parts)]
+            yield "".join([r[0] for r in rows]), b"".join([r[1] for r in rows])
 
 
 @lru_cache(maxsize=2)
-def _encoder(ranks: bytes, pattern: str) -> tuple[Encoder, dict[int, str]]:
-    vocabulary = Vocabulary(read_ranks(ranks))
-    return Encoder(vocabulary, pattern), {r: str(r) for r in vocabulary.bytes_of}
+def _encoder(ranks: bytes, pattern: str) -> Encoder:
+    return Encoder(Vocabulary(read_ranks(ranks)), pattern)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
@@ -224,15 +239,12 @@ def encoded(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str,
         ranks = spark.sparkContext.broadcast(held.read())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, names = _encoder(ranks.value, pattern)
-        tokens = encoder.vocabulary.bytes_of
+        encoder = _encoder(ranks.value, pattern)
         for batch in pieces(batches, "text"):
             rows = []
-            for text in batch.column(1).to_pylist():
-                ids = encoder.encode(text)
-                listed = " ".join(map(names.__getitem__, ids)).encode()
-                whole = b"".join(map(tokens.__getitem__, ids))
-                rows.append((len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(whole).hexdigest(), *([ids] if with_ids else [])))
+            for listed, whole in encoder.encode(batch.column(1).to_pylist()):
+                row = (listed.count(" "), hashlib.sha256(listed[1:].encode()).hexdigest(), hashlib.sha256(whole).hexdigest())
+                rows.append((*row, list(map(int, listed.split()))) if with_ids else row)
             kinds = [pa.int64(), pa.string(), pa.string(), *([pa.list_(pa.int32())] if with_ids else [])]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])])
