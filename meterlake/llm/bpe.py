@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import pieces, whole_text
 
 #: Parts kept from batch to batch; at this many the older half goes. Only speed depends on it.
-CACHE_ENTRIES = 400_000
-FITS_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
+FITS_ENTRIES = 300_000
 _NEVER = 1 << 60
 _SHORT = ((), (1,), (2, 1), (3, 2, 1), (4, 3, 2, 1))
 
@@ -240,7 +240,7 @@ def encoded(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str,
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks.value, pattern)
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", 2 << 20):
             rows = []
             for listed, whole in encoder.encode(batch.column(1).to_pylist()):
                 row = (listed.count(" "), hashlib.sha256(listed[1:].encode()).hexdigest(), hashlib.sha256(whole).hexdigest())

@@ -55,7 +55,7 @@ def binary_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in order, in slices of about ``most_bytes`` of one column (a longer value is a slice of its own)."""
     for batch in batches:
         if not batch.num_rows:

@@ -93,7 +93,9 @@ class Trie:
             path = os.path.join(self.folder.name, str(self.files))
             with open(path, "wb") as out:
                 for suffix, values in _walk(child, b"", False):
-                    pickle.dump((suffix, values), out)
+                    # A subtree spilled before, below a node that was split since, moves along.
+                    for key, more in _read(values) if isinstance(values, str) else [(b"", values)]:
+                        pickle.dump((suffix + key, more), out)
             child.spilled, child.children, child.value = path, {}, None
         self.bytes = 0
 
@@ -102,15 +104,9 @@ class Trie:
         for suffix, values in _walk(self.root, b"", True):
             if isinstance(values, str):
                 below = Trie(self.most)
-                with open(values, "rb") as held:
-                    while True:
-                        try:
-                            key, more = pickle.load(held)
-                        except EOFError:
-                            break
-                        for value in more:
-                            below.insert(key, value)
-                os.remove(values)
+                for key, more in _read(values):
+                    for value in more:
+                        below.insert(key, value)
                 for rest, found in below.items():
                     yield suffix + rest, found
             else:
@@ -119,6 +115,17 @@ class Trie:
             self.folder.cleanup()
 
 
+def _read(path: str) -> Iterator[tuple[bytes, list]]:
+    """The entries of a spilled subtree; the file goes."""
+    with open(path, "rb") as held:
+        while True:
+            try:
+                yield pickle.load(held)
+            except EOFError:
+                break
+    os.remove(path)
+
+
 def _walk(top: _Node, prefix: bytes, labelled: bool) -> Iterator[tuple[bytes, list | str]]:
     """Keys below ``top`` (without its label unless ``labelled``), or the file of a spilled subtree."""
     stack = [(top, prefix + (top.label if labelled else b""))]

@@ -130,7 +130,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most_rows: int
     place = F.xxhash64("doc_id")
     chosen = usable.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"), place.alias("place"))
     chosen = stored(spark, chosen.orderBy("place", "id", "label").limit(most_rows), "quality-sample")
-    texts = docs.join(chosen, F.col("doc_id") == F.col("id")).select("place", "label", whole_text().alias("text"))
+    texts = docs.select("doc_id", whole_text().alias("text")).join(chosen, F.col("doc_id") == F.col("id")).select("place", "label", "text")
     examples = texts.mapInArrow(_examples, "place long, label int, slots array<int>, vals array<float>")
     examples = stored(spark, examples, "quality-examples")
     one = examples.orderBy("place", "label", F.xxhash64("slots")).limit(most_rows)
