@@ -41,8 +41,6 @@ FIXED_DAY_MINUTES = 1440
 FIXED_NO_VENDOR = "NÃO INFORMADO"
 # --- End of fixed values
 
-# Rank error of the median is at most rows / accuracy; state stays bounded per task.
-MEDIAN_ACCURACY = 100_000
 
 
 def trips_with_duration(consumption: DataFrame, start_month: str, end_month: str) -> DataFrame:
@@ -220,16 +218,29 @@ def correlation(trips: DataFrame) -> DataFrame:
     )
 
 
-def duration_amount_buckets(trips: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+def duration_amount_buckets(trips: DataFrame) -> DataFrame:
+    """Counts, means and the exact median per bucket.
+
+    Amounts are counted by cents, so what meets per bucket is bounded by the distinct amounts; rounding
+    keeps their order, so the first one at half of the count is the rounded median.
+    """
     label = bucket(F.col("trip_duration_minutes"), FIXED_VALID_BUCKETS, FIXED_LONGEST_VALID)
-    return (
+    cents = (
         _valid(trips)
-        .groupBy(label.alias("faixa_duracao"))
+        .groupBy(label.alias("faixa_duracao"), F.round("total_amount", 2).alias("cents"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("trip_duration_minutes").alias("minutes"), F.sum("total_amount").alias("amount"))
+    )
+    rising = Window.partitionBy("faixa_duracao").orderBy("cents").rowsBetween(Window.unboundedPreceding, 0)
+    counted = cents.withColumn("upto", F.sum("n").over(rising)).withColumn(
+        "everything", F.sum("n").over(Window.partitionBy("faixa_duracao"))
+    )
+    return (
+        counted.groupBy("faixa_duracao")
         .agg(
-            F.count(F.lit(1)).alias("quantidade_corridas"),
-            F.round(F.avg("trip_duration_minutes"), 2).alias("duracao_media_minutos"),
-            F.round(F.avg("total_amount"), 2).alias("valor_total_medio"),
-            F.round(F.percentile_approx("total_amount", 0.5, accuracy), 2).alias("mediana_total_amount"),
+            F.sum("n").alias("quantidade_corridas"),
+            F.round(F.sum("minutes") / F.sum("n"), 2).alias("duracao_media_minutos"),
+            F.round(F.sum("amount") / F.sum("n"), 2).alias("valor_total_medio"),
+            F.min(F.when(2 * F.col("upto") >= F.col("everything"), F.col("cents"))).alias("mediana_total_amount"),
         )
         .orderBy("faixa_duracao")
     )

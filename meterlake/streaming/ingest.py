@@ -29,6 +29,10 @@ BRONZE_PARTITIONS = ("_reference_month", BATCH_COLUMN)
 MAX_FILES_PER_BATCH = 10_000
 
 
+#: Spark's default of seven days would pass over a backfilled file whose timestamp is older than the newest one's.
+LONGEST_FILE_AGE = "36500d"
+
+
 def bronze_table(lake: Lake, contract: Contract) -> str:
     return f"{lake.bronze}.{contract.table}"
 
@@ -66,6 +70,7 @@ def file_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_B
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", LONGEST_FILE_AGE)
         .load(path)
         .select("path", F.col("length").alias("size_bytes"))
     )

@@ -210,3 +210,21 @@ def test_artifacts(spark, tmp_path):
     sums = metadata.artifact_sha256(metadata.read_artifacts(spark, str(tmp_path)))
     digest = sums.filter(F.col("file_name") == "notes.txt").first()["source_sha256"]
     assert digest == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
+
+
+def test_a_backfilled_file_with_an_old_timestamp_is_read(spark, tmp_path):
+    import os
+    import time
+
+    from meterlake.streaming.ingest import file_stream
+
+    landing_root, seen = tmp_path / "landing", []
+    for month, days in (("2024-01", 0), ("2023-12", 30)):
+        path = str(landing_root / f"yellow_tripdata_{month}.parquet")
+        spark.range(1).coalesce(1).write.parquet(path)
+        for part in (landing_root / f"yellow_tripdata_{month}.parquet").glob("*.parquet"):
+            then = time.time() - days * 86_400
+            os.utime(part, (then, then))
+        stream = file_stream(spark, str(landing_root)).writeStream.option("checkpointLocation", str(tmp_path / "state"))
+        stream.trigger(availableNow=True).foreachBatch(lambda b, _: seen.extend(r["path"] for r in b.collect())).start().awaitTermination()
+    assert {month for month in ("2024-01", "2023-12") if any(month in p for p in seen)} == {"2024-01", "2023-12"}
