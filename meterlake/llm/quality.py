@@ -104,18 +104,19 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row: the weights after all epochs, the intercept last."""
-    rows = []
+    rows = []  # views of the Arrow data, four bytes for each slot and value
     for batch in batches:
         slots, vals = batch.column(2), batch.column(3)
         for i, label in enumerate(batch.column(1).to_pylist()):
-            rows.append((float(label), np.append(slots[i].values.to_numpy(), 1 << BITS), np.append(vals[i].values.to_numpy(), 1.0)))
+            rows.append((float(label), slots[i].values.to_numpy(), vals[i].values.to_numpy()))
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
     def weights(zs: np.ndarray, ns: np.ndarray) -> np.ndarray:
         return np.where(np.abs(zs) <= L1, 0.0, (np.sign(zs) * L1 - zs) / ((BETA + np.sqrt(ns)) / ALPHA + L2))
 
     for _ in range(EPOCHS):
-        for label, at, x in rows:
+        for label, slots, vals in rows:
+            at, x = np.append(slots, 1 << BITS), np.append(vals, 1.0)
             zs, ns = z[at], n[at]
             w = weights(zs, ns)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
