@@ -73,9 +73,36 @@ def physical_value(spelling: str, kind: T.DataType, target: T.DataType) -> Colum
         return column
     if isinstance(kind, T.TimestampNTZType) and isinstance(target, T.TimestampType):
         return column.cast(target)
-    # A number never turns into a time; go through text so that the cast can only yield null.
-    numeric_to_time = isinstance(kind, T.NumericType) and isinstance(target, T.TimestampType)
-    return lenient_cast(column.cast("string") if numeric_to_time else column, target)
+    if not convertible(kind, target):
+        return F.lit(None).cast(target)
+    return lenient_cast(column, target)
+
+
+def convertible(kind: T.DataType, target: T.DataType) -> bool:
+    """Whether values of a physical type may become values of a contract type at all.
+
+    A number never turns into a time, nor a time or a nested value into a number.
+    """
+    if isinstance(target, T.StringType):
+        return True
+    if isinstance(target, T.TimestampType):
+        return isinstance(kind, (T.StringType, T.TimestampType, T.TimestampNTZType, T.DateType))
+    return isinstance(kind, (T.NumericType, T.StringType, T.BooleanType))
+
+
+def holds(spelling: str, kind: T.DataType, target: T.DataType) -> Column:
+    """Whether the contract type keeps a physical value: casting back gives it again.
+
+    Text counts as kept if it denotes the number it became, however it is written; where no
+    decimal can hold the text (``NaN``, ``1e300``), having become a value is enough.
+    """
+    raw, fitted = F.col(f"`{spelling}`"), physical_value(spelling, kind, target)
+    if not isinstance(kind, T.StringType):
+        return F.coalesce(fitted.try_cast(kind) == raw, F.lit(False))
+    if isinstance(target, T.NumericType):
+        exact = T.DecimalType(38, 18)
+        return F.coalesce(raw.try_cast(exact) == fitted.try_cast(exact), fitted.isNotNull())
+    return fitted.isNotNull()
 
 
 def duration_minutes(start: Column, end: Column) -> Column:

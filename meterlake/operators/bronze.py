@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.contracts import RESCUED_COLUMN, Contract, union_all
-from meterlake.functions.columns import canonical_value, rescued_values
+from meterlake.functions.columns import canonical_value, holds, rescued_values
 from meterlake.functions.months import month_of_name
 from meterlake.sources.landing import SchemaGroup
 
@@ -23,14 +23,19 @@ def physical_columns(schema: T.StructType) -> dict[str, tuple[str, T.DataType]]:
 def canonical_columns(frame: DataFrame, contract: Contract, carry: list[str]) -> DataFrame:
     """Contract columns of a physical frame plus ``_rescued_data``; ``carry`` passes through.
 
-    ``_rescued_data`` keeps the rescue text a file brought along. Otherwise it is the JSON
-    of every source column the contract does not name and of every value its contract type
-    cannot hold, which nothing else would preserve.
+    ``_rescued_data`` is the JSON of every source column the contract does not name and of
+    every value its contract type cannot hold, which nothing else would preserve. A fraction
+    in a whole-number column is cut in the column and kept whole here. Rescue text a file
+    brought along comes first; a key of the file that this text already uses is stored as
+    ``_column_<name>``, and rescue text that is no JSON object under its column's name.
     """
     source = T.StructType([f for f in frame.schema.fields if f.name not in carry])
     physical = physical_columns(source)
     has_rescue = RESCUED_COLUMN.name in physical
-    parsed = frame.select("*", rescued_values(F.col(RESCUED_COLUMN.name)).alias(PARSED)) if has_rescue else frame
+    parsed = frame
+    if has_rescue:
+        own = F.col(f"`{physical[RESCUED_COLUMN.name][0]}`").cast("string")
+        parsed = frame.select("*", rescued_values(own).alias(PARSED))
     rescued = F.col(PARSED) if has_rescue else None
 
     values = [
@@ -38,27 +43,47 @@ def canonical_columns(frame: DataFrame, contract: Contract, carry: list[str]) ->
         for c in contract.columns
     ]
     leftovers = _leftovers(source, contract, physical)
-    spilled = F.to_json(F.struct(*leftovers)) if leftovers else F.lit(None).cast("string")
-    spilled = F.nullif(spilled, F.lit("{}"))
-    if has_rescue:
-        spilled = F.coalesce(F.col(RESCUED_COLUMN.name).cast("string"), spilled)
+    if not has_rescue:
+        spilled = _as_json([raw.alias(name) for name, raw in leftovers])
+    else:
+        spilled = _with_own_rescue(F.col(f"`{physical[RESCUED_COLUMN.name][0]}`").cast("string"), leftovers)
     return parsed.select(*values, spilled.alias(RESCUED_COLUMN.name), *carry)
 
 
-def _leftovers(source: T.StructType, contract: Contract, physical: dict) -> list:
+def _as_json(fields: list[Column]) -> Column:
+    """JSON of the fields that are not null, or null where none is."""
+    return F.nullif(F.to_json(F.struct(*fields)), F.lit("{}")) if fields else F.lit(None).cast("string")
+
+
+def _with_own_rescue(own: Column, leftovers: list[tuple[str, Column]]) -> Column:
+    """The file's own rescue text and the leftovers of the same row as one JSON object."""
+    fields = []
+    for name, raw in leftovers:
+        taken = F.coalesce(F.map_contains_key(F.col(PARSED), F.lit(name)), F.lit(False))
+        fields += [F.when(~taken, raw).alias(name), F.when(taken, raw).alias(f"_column_{name}")]
+    spilled = _as_json(fields)
+    inside = F.regexp_extract(own, r"(?s)^\s*\{(.*)\}\s*$", 1)
+    both = F.when(F.trim(inside) == "", spilled).otherwise(
+        F.concat(F.lit("{"), inside, F.lit(","), F.substring(spilled, F.lit(2), F.length(spilled)))
+    )
+    beside = _as_json([own.alias(RESCUED_COLUMN.name), *fields])
+    is_object = F.col(PARSED).isNotNull() & own.rlike(r"(?s)^\s*\{.*\}\s*$")
+    return F.when(own.isNull() | spilled.isNull(), F.coalesce(own, spilled)).when(is_object, both).otherwise(beside)
+
+
+def _leftovers(source: T.StructType, contract: Contract, physical: dict) -> list[tuple[str, Column]]:
     """What the contract columns do not carry: undeclared columns and values that did not fit."""
     declared = {c.name.lower(): c for c in contract.columns}
     found = []
     for field in source.fields:
         column = declared.get(field.name.lower())
         raw = F.col(f"`{field.name}`")
-        if field.name == RESCUED_COLUMN.name:
+        if field.name == physical.get(RESCUED_COLUMN.name, (None,))[0]:
             continue
         if column is None or physical[field.name.lower()][0] != field.name:
-            found.append(raw.alias(field.name))
+            found.append((field.name, raw))
         elif field.dataType != column.data_type and not _widens(field.dataType, column.data_type):
-            fitted = canonical_value(column.name, column.data_type, physical, None)
-            found.append(F.when(fitted.isNull(), raw).alias(field.name))
+            found.append((field.name, F.when(~holds(field.name, field.dataType, column.data_type), raw)))
     return found
 
 
@@ -67,7 +92,7 @@ def _widens(kind: T.DataType, target: T.DataType) -> bool:
     whole = (T.ByteType, T.ShortType, T.IntegerType)
     return (
         (isinstance(target, (T.LongType, T.DoubleType)) and isinstance(kind, whole))
-        or (isinstance(target, T.DoubleType) and isinstance(kind, (T.FloatType, T.LongType)))
+        or (isinstance(target, T.DoubleType) and isinstance(kind, T.FloatType))
         or (isinstance(target, T.TimestampType) and isinstance(kind, T.TimestampNTZType))
         or isinstance(target, T.StringType)
     )

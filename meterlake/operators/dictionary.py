@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.contracts import EXTRACTOR_VERSION
+from meterlake.functions.columns import required
 
 # --- Fixed values: the page footer to drop, the marker before the first field, and the
 # sentence that describes the dataset with the phrases that may follow it.
@@ -118,8 +119,9 @@ def field_descriptions(extracted: DataFrame, key: str) -> DataFrame:
 
 
 def build_contracts(extracted: DataFrame) -> DataFrame:
-    """Contract documents as JSON text: (``dataset``, ``value``).
+    """Contract documents as JSON text: (``dataset``, ``value``, ``status``), one row per text.
 
+    A text with a problem has no document; its status names the problem.
     Expects the extraction result with ``dataset``, ``table``, ``dictionary_slug``,
     ``source_file``, ``source_sha256``, ``field_types`` and ``governance_note``.
     """
@@ -145,14 +147,12 @@ def build_contracts(extracted: DataFrame) -> DataFrame:
         columns.alias("columns"),
         "governance_note",
     )
-    # A filter on the status would be pushed below the projections and repeat the whole
-    # extraction there, once per reference. The filter stays above the outer generator.
-    document_if_clean = F.when(F.col("status") == OK, F.to_json(document))
-    return extracted.select("dataset", F.explode_outer(F.array(document_if_clean)).alias("value")).filter(
-        F.col("value").isNotNull()
-    )
+    return extracted.select("dataset", F.when(F.col("status") == OK, F.to_json(document)).alias("value"), "status")
 
 
 def write_contracts(contracts: DataFrame, path: str) -> None:
-    """One document per file below ``path``, readable by ``contracts.read_contracts``."""
-    contracts.write.mode("overwrite").partitionBy("dataset").text(path)
+    """One document per file below ``path``, readable by ``contracts.read_contracts``.
+
+    A text without a document is an error here.
+    """
+    contracts.select("dataset", required("value")).write.mode("overwrite").partitionBy("dataset").text(path)

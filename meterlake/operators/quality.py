@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.contracts import union_all
-from meterlake.functions.columns import local_date, required, sql_text
+from meterlake.contracts import LOGICAL_TYPES, union_all
+from meterlake.functions.columns import canonical_value, local_date, required, sql_text
 from meterlake.operators.rules import LAYERS
 
 # The zone whose calendar day a run belongs to, and the note on each result.
@@ -71,14 +71,24 @@ def canonical_projection(frame: DataFrame, **sources: str | None) -> DataFrame:
 
 
 def landing_projection(frame: DataFrame) -> DataFrame:
-    return canonical_projection(
-        frame,
-        vendor_id="VendorID",
-        passenger_count="passenger_count",
-        total_amount="total_amount",
-        pickup_datetime="tpep_pickup_datetime",
-        dropoff_datetime="tpep_dropoff_datetime",
-        reference_month="reference_month",
+    """The columns rules may use, from raw files: whatever the spelling and type, never an error.
+
+    A value that does not fit and a column a file lacks are null, as they are in bronze.
+    """
+    sources = {
+        "vendor_id": "VendorID",
+        "passenger_count": "passenger_count",
+        "total_amount": "total_amount",
+        "pickup_datetime": "tpep_pickup_datetime",
+        "dropoff_datetime": "tpep_dropoff_datetime",
+        "reference_month": "reference_month",
+    }
+    physical = {f.name.lower(): (f.name, f.dataType) for f in frame.schema.fields}
+    return frame.select(
+        *[
+            canonical_value(sources[name], LOGICAL_TYPES[kind], physical, None).alias(name)
+            for name, kind in CANONICAL_TYPES.items()
+        ]
     )
 
 

@@ -7,14 +7,21 @@ continues at its checkpoint and every other step rebuilds its own output.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.contracts import TRIP_SERVICES, ZONE_DATASET, Contract, base_contracts, contract_fields
+from meterlake.contracts import (
+    TRIP_SERVICES,
+    ZONE_DATASET,
+    Contract,
+    base_contracts,
+    contract_fields,
+    read_contracts,
+)
 from meterlake.functions.months import window_dates
 from meterlake.operators import coverage, dictionary, gold, quality, rules
 from meterlake.operators.silver import silver_trips
@@ -22,7 +29,7 @@ from meterlake.plans import quality_store
 from meterlake.plans.refresh import refresh_months
 from meterlake.sources import landing, metadata
 from meterlake.sources.tables import Lake, TableSpec, ensure_table, publish
-from meterlake.streaming.ingest import bronze_spec, bronze_table, ingest_services, service_properties
+from meterlake.streaming.ingest import bronze_spec, bronze_table, ingest_services, service_properties, start_over
 
 MONTH = "_reference_month"
 
@@ -96,6 +103,12 @@ def build_contracts(spark: SparkSession, lake: Lake, texts: DataFrame) -> None:
     dictionary.write_contracts(documents, lake.contracts_path)
 
 
+def with_contracts(spark: SparkSession, config: JobConfig, texts: DataFrame) -> JobConfig:
+    """The first step of a run: contracts from dictionary texts, stored and read back."""
+    build_contracts(spark, config.lake, texts)
+    return replace(config, contracts=read_contracts(spark, config.lake.contracts_path))
+
+
 def table_specs(config: JobConfig) -> dict[str, TableSpec]:
     """Every table of the medallion layers by name."""
     lake, contracts = config.lake, config.contracts
@@ -224,10 +237,12 @@ def check_landing(spark: SparkSession, config: JobConfig) -> None:
     Only the files of the window are opened, and of each only its first bytes and footer.
     """
     in_window = F.col("reference_month").between(config.start_month, config.end_month)
-    files = landing.with_identity(landing.list_files(spark, config.lake.landing_path)).filter(
-        F.col("service").isin(*config.services) & (in_window | (F.col("reference_month") == ""))
-    )
-    damaged = landing.landing_integrity(landing.read_footers(files)).filter(F.col("status") != "INTACT")
+    relevant = F.col("service").isin(*config.services) & (in_window | (F.col("reference_month") == ""))
+    root = config.lake.landing_path
+    files = landing.with_identity(landing.list_files(spark, root)).filter(relevant)
+    empty = landing.with_identity(landing.empty_files(spark, root)).filter(relevant)
+    present = files.select("path", "size_bytes").unionByName(empty.select("path", "size_bytes"))
+    damaged = landing.landing_integrity(landing.read_footers(present)).filter(F.col("status") != "INTACT")
     gaps = landing.landing_gaps(files, list(config.services), config.start_month, config.end_month)
     problems = damaged.select(F.col("file_name").alias("subject"), "status").unionByName(
         gaps.filter(~F.col("tolerated")).select(
@@ -245,6 +260,21 @@ def refresh_bronze(spark: SparkSession, config: JobConfig) -> None:
     ingest_services(spark, config.lake, contracts, {c.dataset: _service_properties(c) for c in contracts})
 
 
+def rebuild_bronze(spark: SparkSession, config: JobConfig, services: tuple[str, ...]) -> None:
+    """Full refresh: forget what was ingested of some services and read their landing files again.
+
+    The way to take in a month that was published anew under its old name. Silver and gold
+    notice the new stream and rebuild as well.
+    """
+    unknown = sorted(set(services) - set(config.services))
+    if unknown:
+        raise ValueError(f"unknown services: {', '.join(unknown)}")
+    for service in services:
+        contract = config.contracts[service]
+        start_over(spark, config.lake, contract, _service_properties(contract))
+    refresh_bronze(spark, config)
+
+
 def refresh_metadata(spark: SparkSession, config: JobConfig) -> None:
     """Zone lookup, artifact inventory and contract coverage."""
     lake, specs = config.lake, table_specs(config)
@@ -339,12 +369,15 @@ def _layer(spark: SparkSession, config: JobConfig, name: str) -> quality.Layer:
     return quality.Layer(name, table, quality.table_projection(spark.table(table), "VendorID"))
 
 
-def run_job(spark: SparkSession, config: JobConfig) -> DataFrame:
-    """Landing check, bronze and silver, gate, gold, consolidated evaluation.
+def run_job(spark: SparkSession, config: JobConfig, texts: DataFrame | None = None) -> DataFrame:
+    """Landing check, contracts, bronze and silver, gate, gold, consolidated evaluation.
 
-    Returns the last results.
+    Contracts are built where dictionary texts (``dataset``, ``text``) are given. Returns the
+    last results.
     """
     check_landing(spark, config)
+    if texts is not None:
+        config = with_contracts(spark, config, texts)
     register_tables(spark, config)
     refresh_bronze(spark, config)
     refresh_metadata(spark, config)

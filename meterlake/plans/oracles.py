@@ -91,6 +91,13 @@ _YELLOW = {
     "PULocationID": "user_id",
     "fare_amount": "abs(amount)",
 }
+# The last yellow month brings amounts that are no numbers, fractions of a vendor and rescue text of its own.
+_READ_AMOUNT = "CASE WHEN month = '2024-02' AND user_id % 11 = 0 THEN NULL ELSE amount END"
+_RESCUED = """CASE WHEN month = '2024-02' THEN nullif('{' || concat_ws(',',
+    CASE WHEN user_id % 5 = 0 THEN '"trip_note":"' || user_id || '"' END,
+    CASE WHEN user_id % 7 = 0 AND vendor IS NOT NULL THEN '"VendorID":' || vendor || '.5' END,
+    CASE WHEN user_id % 11 = 0 THEN '"total_amount":"n/a"' END,
+    '"meter_note":' || CAST(to_json(props) AS VARCHAR)) || '}', '{}') END"""
 _SILVER_NAMES = {
     "VendorID": "vendor_id",
     "RatecodeID": "ratecode_id",
@@ -293,6 +300,7 @@ _ACTUAL = {
         "fare_amount": "double",
         "airport_fee": "double",
         "meter_note": "string",
+        "_rescued_data": "string",
     },
     "green": {
         "VendorID": "int64",
@@ -373,7 +381,9 @@ SELECT vendor AS "VendorID", passengers AS passenger_count, amount AS total_amou
 SELECT vendor AS vendor_id, passengers AS passenger_count, amount AS total_amount, pickup AS pickup_datetime,
   dropoff AS dropoff_datetime, month AS reference_month FROM yellow"""
     return {
-        "landing_canonical": rides + projection,
+        "landing_canonical": rides
+        + f"""SELECT vendor AS vendor_id, passengers AS passenger_count, {_READ_AMOUNT} AS total_amount,
+  pickup AS pickup_datetime, dropoff AS dropoff_datetime, month AS reference_month FROM trips WHERE service = 'yellow'""",
         # Every service has a file for every month, if only one without rows.
         "landing_integrity": rides
         + """SELECT s.service, m.month AS reference_month, 'INTACT' AS status, count(trip_id) AS trip_rows
@@ -393,18 +403,18 @@ expected AS (
 SELECT service, month AS reference_month, month IN ('2001-09', '2001-10') AS tolerated FROM expected e
 WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.service = e.service AND p.month = e.month)""",
         "bronze_canonical": rides
-        + f"""SELECT {_typed('yellow', {**_YELLOW, 'airport_fee': 'abs(amount) / 10'}, {})},
-  CASE WHEN month = '2024-02' THEN CAST(json_object('meter_note', props) AS VARCHAR) END AS _rescued_data,
+        + f"""SELECT {_typed('yellow', {**_YELLOW, 'airport_fee': 'abs(amount) / 10', 'total_amount': _READ_AMOUNT}, {})},
+  {_RESCUED} AS _rescued_data,
   service AS _service_type, month AS _reference_month
 FROM trips WHERE service = 'yellow'""",
         "bronze_lineage": rides
         + """SELECT service AS _service_type, month AS _reference_month, service AS file_service,
   month AS file_month, count(*) AS trip_rows FROM trips WHERE service = 'green' GROUP BY ALL""",
         "bronze_ingest": rides
-        + """SELECT vendor AS vendor_id, pickup AS pickup_datetime, dropoff AS dropoff_datetime,
+        + f"""SELECT vendor AS vendor_id, pickup AS pickup_datetime, dropoff AS dropoff_datetime,
   CASE WHEN service <> 'fhv' THEN passengers END AS passenger_count,
-  CASE WHEN service <> 'fhv' THEN amount END AS total_amount,
-  CASE WHEN service = 'yellow' AND month = '2024-02' THEN CAST(json_object('meter_note', props) AS VARCHAR)
+  CASE WHEN service = 'yellow' THEN {_READ_AMOUNT} WHEN service <> 'fhv' THEN amount END AS total_amount,
+  CASE WHEN service = 'yellow' AND month = '2024-02' THEN {_RESCUED}
        WHEN service = 'green' AND month = '2023-12' THEN CAST(json_object('ehail_fee', user_id) AS VARCHAR)
   END AS _rescued_data,
   service AS _service_type, month AS _reference_month FROM trips""",
@@ -429,7 +439,13 @@ FROM lineitem LEFT JOIN zones p ON p.id = l_suppkey LEFT JOIN zones d ON d.id =
 SELECT 'document_' || doc_id || '.txt' AS file_name, sha256(text) AS source_sha256 FROM documents""",
         "contract_extract": _with(_CLEAN) + "SELECT doc_id, position, name, description, status FROM fields",
         "contract_build": _with(_CLEAN)
-        + """SELECT CAST(doc_id AS VARCHAR) AS dataset, CAST(json_object('dataset', CAST(doc_id AS VARCHAR),
+        + """, verdicts AS (
+  SELECT doc_id, CASE WHEN coalesce(any_value(about), '') = '' THEN 'DESCRIPTION_NOT_FOUND'
+    ELSE coalesce(arg_min(status, position) FILTER (WHERE status <> 'OK'), 'OK') END AS verdict
+  FROM fields GROUP BY doc_id
+)
+SELECT CAST(doc_id AS VARCHAR) AS dataset, any_value(verdict) AS status,
+  CASE WHEN any_value(verdict) = 'OK' THEN CAST(json_object('dataset', CAST(doc_id AS VARCHAR),
   'table', 'bronze_' || doc_id, 'description', any_value(trim(about)), 'dictionary_slug', 'documents',
   'source_file', 'document_' || doc_id || '.txt', 'source_sha256', sha256(any_value(original)),
   'extractor_version', '1.0.0', 'language', 'en',
@@ -438,8 +454,8 @@ SELECT 'document_' || doc_id || '.txt' AS file_name, sha256(text) AS source_sha2
     'lang', json_object('description', max(description) FILTER (WHERE position = 1), 'type', 'string'),
     'source', json_object('description', max(description) FILTER (WHERE position = 2), 'type', 'string'),
     'text', json_object('description', max(description) FILTER (WHERE position = 3), 'type', 'string')
-  )) AS VARCHAR) AS contract
-FROM fields GROUP BY doc_id HAVING bool_and(status = 'OK') AND any_value(about) <> ''""",
+  )) AS VARCHAR) END AS contract
+FROM fields JOIN verdicts USING (doc_id) GROUP BY doc_id""",
         "contract_coverage": _coverage_sql(),
         "silver_trips": rides
         + f"""SELECT {_typed('yellow', _YELLOW, _SILVER_NAMES)}, file AS _source_file, ingested AS _ingested_at,

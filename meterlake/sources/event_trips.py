@@ -150,10 +150,11 @@ def _physical(service: str, month: str) -> dict[str, str]:
         },
         ("yellow", "2024-01"): {"airport_fee": fee},
         ("yellow", "2024-02"): {
-            "VendorID": "CAST(vendor_id AS DOUBLE)",
-            "total_amount": "CAST(total_amount AS STRING)",
+            "VendorID": "vendor_id + CASE WHEN user_id % 7 = 0 THEN 0.5D ELSE 0D END",
+            "total_amount": "CASE WHEN user_id % 11 = 0 THEN 'n/a' ELSE CAST(total_amount AS STRING) END",
             "airport_fee": fee,
             "meter_note": "rescued_data",
+            "_rescued_data": """CASE WHEN user_id % 5 = 0 THEN concat('{"trip_note":"', user_id, '"}') END""",
         },
         ("green", "2023-12"): {"passenger_count": "CAST(passenger_count AS STRING)", "ehail_fee": "user_id"},
         ("fhv", "2024-02"): {"SR_Flag": "CAST(vendor_id AS INT)"},

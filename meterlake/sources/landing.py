@@ -50,6 +50,47 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
     )
 
 
+def empty_files(spark: SparkSession, root: str) -> DataFrame:
+    """Parquet files below ``root`` without a single byte, which Spark leaves out of a listing."""
+
+    open_filesystem = filesystem_opener()
+
+    def walk(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch.column("root").to_pylist():
+                filesystem, inner = open_filesystem(folder)
+                selector = fs.FileSelector(inner, recursive=True, allow_not_found=True)
+                found = [
+                    folder.rstrip("/") + info.path[len(inner.rstrip("/")) :]
+                    for info in filesystem.get_file_info(selector)
+                    if info.is_file and info.size == 0 and info.extension == "parquet"
+                ]
+                yield pa.record_batch(
+                    [pa.array(found, pa.string()), pa.array([0] * len(found), pa.int64())], ["path", "size_bytes"]
+                )
+
+    return spark.createDataFrame([(root,)], "root string").mapInArrow(walk, "path string, size_bytes long")
+
+
+def filesystem_opener():
+    """A function from a path to Arrow's file system and the path within it.
+
+    It is made anew here so that it travels to the tasks by value; they need not import this package.
+    """
+
+    def open_filesystem(path: str):
+        from pyarrow import fs
+
+        scheme, _, rest = path.partition(":")
+        # Hadoop spells the object store scheme differently.
+        return fs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else path)
+
+    return open_filesystem
+
+
 def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)$", 1)
 
@@ -76,17 +117,14 @@ def read_footers(files: DataFrame) -> DataFrame:
     the work is the same for a 1 MB and a 100 GB file. Spark's own binary source would
     load whole contents.
     """
+    open_filesystem = filesystem_opener()
 
     def probe(batches: Iterable) -> Iterator:
         import pyarrow as pa
         import pyarrow.parquet as pq
-        from pyarrow import fs
 
         def open_file(path: str):
-            scheme, _, rest = path.partition(":")
-            # Hadoop spells the object store scheme differently.
-            uri = f"s3:{rest}" if scheme in ("s3a", "s3n") else path
-            filesystem, inner = fs.FileSystem.from_uri(uri)
+            filesystem, inner = open_filesystem(path)
             return filesystem.open_input_file(inner)
 
         def describe(path: str, size: int) -> dict:
@@ -134,10 +172,11 @@ def read_footers(files: DataFrame) -> DataFrame:
 
 
 def landing_integrity(footers: DataFrame) -> DataFrame:
-    """A verdict per file: too short, wrong magic bytes, unreadable footer, nameless month, or intact."""
+    """A verdict per file: empty, too short, wrong magic bytes, unreadable footer, nameless month, or intact."""
     named = with_identity(footers)
     status = (
-        F.when(F.col("size_bytes") < FIXED_MINIMUM_BYTES, "TOO_SHORT")
+        F.when(F.col("size_bytes") == 0, "EMPTY")
+        .when(F.col("size_bytes") < FIXED_MINIMUM_BYTES, "TOO_SHORT")
         .when(~F.col("magic_at_head") | ~F.col("magic_at_tail"), "NOT_PARQUET")
         .when(F.col("fields").isNull(), "UNREADABLE_FOOTER")
         .when(F.col("reference_month") == "", "NO_MONTH")
@@ -191,7 +230,21 @@ class SchemaGroup:
         return {f.name.lower(): (f.name, f.dataType) for f in self.schema.fields}
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(*self.paths)
+        """The files as one frame. A session that ignores case sees one spelling per name, the last."""
+        if spark.conf.get("spark.sql.caseSensitive") == "true":
+            schema = self.schema
+        else:
+            kept = {spelling for spelling, _ in self.physical.values()}
+            schema = T.StructType([f for f in self.schema.fields if f.name in kept])
+        return spark.read.schema(schema).parquet(*self.paths)
+
+
+def refuse_empty_files(spark: SparkSession, root: str) -> None:
+    """An error where a file below ``root`` has no byte yet: its upload may be under way."""
+    waiting = empty_files(spark, root)
+    example = waiting.agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("first")).first()
+    if example["files"]:
+        raise UnreadableFiles(f"{example['files']} landing file(s) are empty, the first is {example['first']}")
 
 
 class UnreadableFiles(RuntimeError):
@@ -207,7 +260,7 @@ def schema_groups(spark: SparkSession, footers: DataFrame) -> list[SchemaGroup]:
     """
     by_schema: dict[str, list[str]] = {}
     unreadable = []
-    for row in footers.select("path", F.sha2(F.to_json("fields"), 256).alias("fingerprint")).collect():
+    for row in footers.select("path", F.sha2(F.to_json(F.array_sort("fields")), 256).alias("fingerprint")).collect():
         if row["fingerprint"] is None:
             unreadable.append(row["path"])
         else:
@@ -215,8 +268,11 @@ def schema_groups(spark: SparkSession, footers: DataFrame) -> list[SchemaGroup]:
     if unreadable:
         shown = ", ".join(sorted(unreadable)[:5])
         raise UnreadableFiles(f"{len(unreadable)} landing file(s) are not readable Parquet, among them {shown}")
+    # Names that differ in case only are two columns here, whatever the session makes of them.
+    exact = spark.newSession()
+    exact.conf.set("spark.sql.caseSensitive", "true")
     return [
-        SchemaGroup(spark.read.parquet(paths[0]).schema, tuple(sorted(paths)))
+        SchemaGroup(exact.read.parquet(paths[0]).schema, tuple(sorted(paths)))
         for _, paths in sorted(by_schema.items())
     ]
 

@@ -82,7 +82,7 @@ def ensure_table(spark: SparkSession, lake: Lake, spec: TableSpec) -> None:
             # Creating a table from a frame clears its folder. Where there is one already, the
             # table is created elsewhere, pointed at it, and its partitions looked up there.
             location = lake.location(spec.name)
-            found = _exists(spark, location)
+            found = path_exists(spark, location)
             (
                 spark.createDataFrame([], stored)
                 .write.format("parquet")
@@ -102,7 +102,7 @@ def ensure_table(spark: SparkSession, lake: Lake, spec: TableSpec) -> None:
         spark.sql(f"ALTER TABLE {spec.name} SET TBLPROPERTIES ({pairs})")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path)
     except AnalysisException as missing:

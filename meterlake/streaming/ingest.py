@@ -4,8 +4,8 @@ The stream lists files; it does not read them. Each micro-batch groups its new f
 footer schema and reads them with the batch code of ``operators.bronze``, because a
 streaming Parquet read would need one schema for all months.
 
-Every file is processed once: the checkpoint remembers it. A file that cannot be read
-stops its batch before anything is stored, and the batch is tried again on the next run.
+Every file is processed once: the checkpoint remembers it. A file that cannot be read,
+or that has no byte yet, stops its batch before anything is stored, and the batch is tried again on the next run.
 A batch that is replayed after
 a failure overwrites exactly the partitions it wrote before, because the batch number is
 part of the partition, so a month may also arrive in several files over several batches.
@@ -20,8 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from meterlake.contracts import Contract
 from meterlake.operators.bronze import bronze_rows
-from meterlake.sources.landing import FILE_LISTING_SCHEMA, read_footers, schema_groups
-from meterlake.sources.tables import Lake, TableSpec, ensure_table
+from meterlake.sources.landing import FILE_LISTING_SCHEMA, read_footers, refuse_empty_files, schema_groups
+from meterlake.sources.tables import Lake, TableSpec, ensure_table, path_exists, publish
 
 BATCH_COLUMN = "_ingest_batch"
 STREAM_PROPERTY = "meterlake.stream_id"
@@ -76,6 +76,36 @@ def file_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_B
     )
 
 
+def current_checkpoint(spark: SparkSession, lake: Lake, table: str) -> tuple[str, int]:
+    """Checkpoint in force and how often the table was started over.
+
+    The checkpoints themselves tell: each start has a folder of its own next to the others.
+    """
+    first, starts = lake.checkpoint(table), 0
+    while path_exists(spark, f"{first}-{starts + 1}"):
+        starts += 1
+    return (f"{first}-{starts}" if starts else first), starts
+
+
+def start_over(
+    spark: SparkSession, lake: Lake, contract: Contract, properties: dict[str, str] | None = None
+) -> None:
+    """Empty a bronze table and give it a stream that has seen no file.
+
+    The rows go first. Should this die before the new stream exists, the old one still knows
+    every file, so nothing is read twice, and starting over again completes it.
+    """
+    ensure_table(spark, lake, bronze_spec(lake, contract, properties))
+    table = bronze_table(lake, contract)
+    spec = bronze_spec(lake, contract, properties)
+    _, starts = current_checkpoint(spark, lake, table)
+    empty = T.StructType([T.StructField(f.name, f.dataType) for f in spec.schema.fields])
+    publish(spark, lake, spec, spark.createDataFrame([], empty))
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    # The marker brings the folder of the new checkpoint into being.
+    spark.range(1).coalesce(1).write.parquet(f"{lake.checkpoint(table)}-{starts + 1}/started")
+
+
 def start_ingest(
     spark: SparkSession,
     lake: Lake,
@@ -93,6 +123,8 @@ def start_ingest(
         session = batch.sparkSession
         session.conf.set("spark.sql.caseSensitive", "true")
         session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # A file without bytes yields no row but would count as seen; failing here has its batch repeated.
+        refuse_empty_files(session, f"{lake.landing_path}/{contract.dataset}")
         groups = schema_groups(session, read_footers(batch))
         if not groups:
             return
@@ -103,7 +135,7 @@ def start_ingest(
     return (
         file_stream(spark, f"{lake.landing_path}/{contract.dataset}", max_files)
         .writeStream.foreachBatch(store)
-        .option("checkpointLocation", lake.checkpoint(table))
+        .option("checkpointLocation", current_checkpoint(spark, lake, table)[0])
         .trigger(availableNow=True)
         .queryName(f"ingest_{contract.dataset}")
         .start()

@@ -124,3 +124,43 @@ def test_change_starts_with_null(spark):
     frame = spark.createDataFrame([("2023-01",)] * 3 + [("2023-02",)] * 4, "_reference_month string")
     rows = monthly_volume(frame).collect()
     assert [r["variacao_percentual_mes_anterior"] for r in rows] == [None, 33.33]
+
+
+def test_values_that_only_nearly_fit_are_rescued(spark):
+    """Fractions, whole numbers beyond 2^53 and text with decimals are cut in the column and kept in the rescue text."""
+    frame = spark.sql(
+        "SELECT * FROM VALUES (1.5D, 9007199254740993L, '2.9'), (2.0D, 7L, '3.0'), (3.0D, NULL, 'x'), (NULL, 9L, '1e2') "
+        "AS t(VendorID, total_amount, PULocationID)"
+    )
+    rows = canonical_columns(frame, base_contract("yellow"), []).select("VendorID", "PULocationID", "_rescued_data").collect()
+    assert [tuple(r) for r in rows] == [
+        (1, 2, '{"VendorID":1.5,"total_amount":9007199254740993,"PULocationID":"2.9"}'),
+        (2, 3, None),
+        (3, None, '{"PULocationID":"x"}'),
+        (None, 100, None),
+    ]
+
+
+def test_own_rescue_text_and_leftovers_are_merged(spark):
+    frame = spark.createDataFrame(
+        [
+            (1, '{"a":1}', "n"),
+            (2, None, "n"),
+            (3, '{"a":1}', None),
+            (4, "{}", "n"),
+            (5, '{"note":"own"}', "n"),
+            (6, "no object", "n"),
+            (7, "no object", None),
+        ],
+        "VendorID long, _rescued_data string, note string",
+    )
+    rows = canonical_columns(frame, base_contract("yellow"), []).select("VendorID", "_rescued_data").collect()
+    assert dict(map(tuple, rows)) == {
+        1: '{"a":1,"note":"n"}',
+        2: '{"note":"n"}',
+        3: '{"a":1}',
+        4: '{"note":"n"}',
+        5: '{"note":"own","_column_note":"n"}',
+        6: '{"_rescued_data":"no object","note":"n"}',
+        7: "no object",
+    }

@@ -14,7 +14,7 @@ from meterlake.contracts import ContractColumn, base_contract
 from meterlake.operators import quality
 from meterlake.sources import landing, metadata
 from meterlake.sources.tables import Lake
-from meterlake.streaming.ingest import ingest_services
+from meterlake.streaming.ingest import ingest_services, start_over
 
 PICKUP, DROPOFF = datetime(2024, 1, 5, 10), datetime(2024, 1, 5, 11)
 
@@ -57,7 +57,9 @@ def test_integrity(spark, tmp_path):
     whole = (folder / "yellow_tripdata_2024-01.parquet").read_bytes()
     (folder / "yellow_tripdata_2024-05.parquet").write_bytes(whole[:-20])
     (folder / "yellow_tripdata_2024-06.parquet").write_bytes(whole[:40] + b"PAR1")
-    footers = landing.read_footers(landing.list_files(spark, str(tmp_path)))
+    (folder / "yellow_tripdata_2024-07.parquet").write_bytes(b"")
+    listed = landing.list_files(spark, str(tmp_path)).select("path", "size_bytes")
+    footers = landing.read_footers(listed.unionByName(landing.empty_files(spark, str(tmp_path))))
     found = {r["file_name"]: r["status"] for r in landing.landing_integrity(footers).collect()}
     assert found == {
         "yellow_tripdata_2024-01.parquet": "INTACT",
@@ -66,6 +68,7 @@ def test_integrity(spark, tmp_path):
         "yellow_tripdata_2024-04.parquet": "NOT_PARQUET",
         "yellow_tripdata_2024-05.parquet": "NOT_PARQUET",
         "yellow_tripdata_2024-06.parquet": "UNREADABLE_FOOTER",
+        "yellow_tripdata_2024-07.parquet": "EMPTY",
     }
 
 
@@ -228,3 +231,59 @@ def test_a_backfilled_file_with_an_old_timestamp_is_read(spark, tmp_path):
         stream = file_stream(spark, str(landing_root)).writeStream.option("checkpointLocation", str(tmp_path / "state"))
         stream.trigger(availableNow=True).foreachBatch(lambda b, _: seen.extend(r["path"] for r in b.collect())).start().awaitTermination()
     assert {month for month in ("2024-01", "2023-12") if any(month in p for p in seen)} == {"2024-01", "2023-12"}
+
+
+def test_an_empty_file_is_read_once_it_is_filled(spark, lake):
+    """A file without bytes is an upload under way: its batch waits and nothing is lost."""
+    root = Path(lake.landing_path)
+    write(root, "2024-01", plain())
+    waiting = root / "yellow" / "2024" / "02" / "yellow_tripdata_2024-02.parquet"
+    waiting.parent.mkdir(parents=True)
+    waiting.write_bytes(b"")
+    with pytest.raises(StreamingQueryException, match="yellow_tripdata_2024-02"):
+        ingest(spark, lake)
+    write(root, "2024-02", plain())
+    counted = spark.table(ingest(spark, lake)).groupBy("_reference_month").count().collect()
+    assert {r["_reference_month"]: r["count"] for r in counted} == {"2024-01": 2, "2024-02": 2}
+
+
+def test_landing_rows_never_fail(spark, tmp_path):
+    """Amounts that are no numbers, an absent column and two spellings read as they do in bronze."""
+    write(tmp_path, "2024-01", plain() | {"total_amount": pa.array(["n/a", "7.5"])})
+    short = plain()
+    del short["passenger_count"]
+    write(tmp_path, "2024-02", short)
+    write(tmp_path, "2024-03", plain() | {"airport_fee": pa.array([1.0, 2.0]), "Airport_fee": pa.array([3.0, 4.0])})
+    frame = landing.landing_canonical(spark, str(tmp_path), "yellow", "2024-01", "2024-03", quality.landing_projection)
+    found = {(r["reference_month"], r["vendor_id"]): (r["passenger_count"], r["total_amount"]) for r in frame.collect()}
+    assert found == {
+        ("2024-01", 1): (1.0, None),
+        ("2024-01", 2): (None, 7.5),
+        ("2024-02", 1): (None, 10.5),
+        ("2024-02", 2): (None, -3.0),
+        ("2024-03", 1): (1.0, 10.5),
+        ("2024-03", 2): (None, -3.0),
+    }
+
+
+def test_the_order_of_columns_makes_no_schema(spark, tmp_path):
+    write(tmp_path, "2024-01", plain())
+    write(tmp_path, "2024-02", dict(reversed(plain().items())))
+    groups = landing.schema_groups(spark, landing.read_footers(landing.list_files(spark, str(tmp_path))))
+    assert [len(g.paths) for g in groups] == [2]
+    assert {r["VendorID"] for r in groups[0].read(spark).collect()} == {1, 2}
+
+
+def test_starting_over_takes_in_a_republished_month(spark, lake):
+    root = Path(lake.landing_path)
+    write(root, "2024-01", plain())
+    write(root, "2024-02", plain())
+    table = ingest(spark, lake)
+    write(root, "2024-01", plain() | {"total_amount": pa.array([99.0, 98.0])})
+    ingest(spark, lake)
+    assert spark.table(table).count() == 4
+    for _ in range(2):
+        start_over(spark, lake, base_contract("yellow"))
+        ingest(spark, lake)
+        rows = sorted((r["_reference_month"], r["total_amount"]) for r in spark.table(table).collect())
+        assert rows == [("2024-01", 98.0), ("2024-01", 99.0), ("2024-02", -3.0), ("2024-02", 10.5)]

@@ -1,4 +1,7 @@
-"""Every registered query against independent SQL on the same tables."""
+"""Every registered query against independent SQL on the same tables.
+
+The queries of the optional subpackage have tests of their own.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +9,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, from_duckdb, from_spark
+from meterlake.plans import oracles, registry
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +24,8 @@ def duck(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
+    assert entry_points.queries().keys() >= QUERIES.keys()
+    assert entry_points.oracle_sql().keys() >= ORACLES.keys()
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
