@@ -16,6 +16,7 @@ one id are one node if their texts agree, and are linked through the id if not;
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,11 +30,11 @@ from meterlake.llm.components import components
 from meterlake.llm.word_hashes import LOWER, hashes, mixed, words
 
 SHINGLE = 5
-#: A pair at similarity 0.85 shares none of 20 bands of 4 minima with probability 4e-7.
+#: A pair at similarity 0.85 shares none of 20 bands of 4 minima with probability 4e-7, at 0.8 with 2.6e-5.
 ROWS, BANDS = 4, 20
 MINIMA = ROWS * BANDS
-#: At similarity 0.85, fewer than 50 of 80 minima agree with probability 4e-7.
-LEAST_AGREEING = 50
+#: A pair at the wanted similarity has fewer agreeing minima than are asked for with at most this probability.
+MISSED = 4e-7
 BLOCK = 256
 
 _RNG = np.random.default_rng(8)
@@ -122,6 +123,17 @@ class _Forest:
         self.up[self.root(a)] = self.root(b)
 
 
+def least_agreeing(percent: int) -> int:
+    """How many of the minima a pair must share to be confirmed: 50 of 80 for 85 percent, 45 for 80."""
+    p, k, below = percent / 100, 0, 0.0
+    while k < MINIMA:
+        below += math.comb(MINIMA, k) * p**k * (1 - p) ** (MINIMA - k)
+        if below > MISSED:
+            break
+        k += 1
+    return k
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether 100 * intersection >= percent * union."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -129,6 +141,8 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _block_links(percent: int):
+    least = least_agreeing(percent)
+
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Links of each block's spanning forest. A pair is looked at in the first of the bands it shares."""
         found: list[tuple[int, int]] = []
@@ -151,7 +165,7 @@ def _block_links(percent: int):
             for x in range(len(nodes) - 1):
                 same = minima[x + 1 :] == minima[x]
                 agree = same.sum(1)
-                ok = (agree >= LEAST_AGREEING) & (100 * np.minimum(size[x + 1 :], size[x]) >= percent * np.maximum(size[x + 1 :], size[x]))
+                ok = (agree >= least) & (100 * np.minimum(size[x + 1 :], size[x]) >= percent * np.maximum(size[x + 1 :], size[x]))
                 if i != j:
                     ok &= part[x + 1 :] != part[x]
                 if band:

@@ -117,6 +117,10 @@ def test_near_groups_of_many_blocks(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == expected
 
 
+def test_minima_asked_for_follow_the_threshold():
+    assert [minhash.least_agreeing(p) for p in (80, 85, 100)] == [45, 50, 80]
+
+
 def test_ids_used_twice_are_one_node(spark):
     rows = [(1, prose(1, 50)), (2, prose(2, 50)), (3, prose(1, 50)), (3, prose(2, 50)), (4, prose(4, 50))]
     found = {r["doc_id"]: r["component_id"] for r in minhash.near_groups(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
