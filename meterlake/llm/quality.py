@@ -139,28 +139,28 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most_rows: int
     return np.frombuffer(found[0]["weights"], np.float32) if found else np.zeros((1 << BITS) + 1, np.float32)
 
 
-def scored(spark: SparkSession, docs: DataFrame, weights: np.ndarray, *carried: str) -> DataFrame:
-    """doc_id, score and the ``carried`` columns of every row."""
+def scored(spark: SparkSession, docs: DataFrame, weights: np.ndarray, text: str, *carried: str) -> DataFrame:
+    """The ``carried`` columns of every row, and the score of its column ``text``, which travels once."""
     held = spark.sparkContext.broadcast(weights)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = held.value
-        for batch in pieces(batches, "text"):
-            slots, values, first = features(batch.column(batch.schema.get_field_index("text")))
+        for batch in pieces(batches, text):
+            slots, values, first = features(batch.column(batch.schema.get_field_index(text)))
             sums = np.concatenate([[0.0], np.cumsum(w[slots] * values)])
             margin = sums[first[1:]] - sums[first[:-1]] + float(w[-1])
             out = pa.array(1 / (1 + np.exp(-np.clip(margin, -35, 35))))
-            kept = batch.select([c for c in batch.schema.names if c != "text" or c in carried])
-            yield pa.RecordBatch.from_arrays([*kept.columns, out], names=[*kept.schema.names, "score"])
+            kept = batch.select(list(carried))
+            yield pa.RecordBatch.from_arrays([*kept.columns, out], names=[*carried, "score"])
 
-    texts = docs.select("doc_id", *carried, *([] if "text" in carried else [whole_text().alias("text")]))
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema if f.name != "text" or "text" in carried]
-    return texts.mapInArrow(score, ", ".join([*kinds, "score double"]))
+    rows = docs.select(*carried, *([] if text in carried else [text]))
+    kinds = [f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in carried]
+    return rows.mapInArrow(score, ", ".join([*kinds, "score double"]))
 
 
 def quality_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
-    out = scored(spark, docs, fit(spark, docs, labels, most_rows))
+    out = scored(spark, docs, fit(spark, docs, labels, most_rows), "text", "doc_id")
     predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
 
@@ -169,6 +169,5 @@ def good_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, most
     """The rows of ``docs`` that the model accepts."""
     weights = fit(spark, docs, labels, most_rows)
     names = [f"c{i}" for i in range(len(docs.columns))]
-    packed = docs.toDF(*names).select(*names, F.col(names[docs.columns.index("doc_id")]).alias("doc_id"), F.coalesce(F.col(names[docs.columns.index("text")]), F.lit("")).alias("text"))
-    good = scored(spark, packed, weights, *names).where("score >= 0.5")
+    good = scored(spark, docs.toDF(*names), weights, names[docs.columns.index("text")], *names).where("score >= 0.5")
     return good.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
