@@ -88,9 +88,34 @@ def _codes(seed: int, tables: int, bits: int):
     return codes
 
 
-def _nearest(keys: list[str], most: int, link: float):
+def _forest(sim: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that connect whatever the links of a block connect.
+
+    Spanning trees of what is a link whatever half precision lost; of what may be one, all pairs between different trees.
+    """
+    sure = sim >= threshold + SLACK
+    tree, open_ = np.arange(len(sim)), sure.any(1)
+    a, b = [], []
+    for start in np.flatnonzero(open_).tolist():
+        if not open_[start]:
+            continue
+        open_[start], stack = False, [start]
+        while stack:
+            node = stack.pop()
+            tree[node] = start
+            new = np.flatnonzero(sure[node] & open_)
+            open_[new] = False
+            a.append(np.full(len(new), node))
+            b.append(new)
+            stack.extend(new.tolist())
+    unsure = np.nonzero((sim >= threshold - SLACK) & ~sure)
+    between = (unsure[0] < unsure[1]) & (tree[unsure[0]] != tree[unsure[1]])
+    return np.concatenate([*a, unsure[0][between]]), np.concatenate([*b, unsure[1][between]])
+
+
+def _nearest(keys: list[str], most: int, threshold: float):
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of the rows that meet under a key, each one's nearest, and a chain of all its links."""
+        """Of the rows that meet under a key, each one's nearest, and a forest of their links."""
         out, size = [], 0
         for group in runs(batches, keys):
             nodes = group.column("node").to_numpy()
@@ -103,14 +128,12 @@ def _nearest(keys: list[str], most: int, link: float):
             k = min(most, len(nodes) - 1)
             near = np.argpartition(-sim, k - 1, 1)[:, :k]
             value = np.take_along_axis(sim, near, 1)
-            first = np.argmax(sim >= link, 1)
-            chained = sim[np.arange(len(nodes)), first] >= link
             keep = value > floor[:, None]
             at = np.nonzero(keep)
             out.append((nodes[at[0]], nodes[near[at]], value[at]))
-            own = np.flatnonzero(chained)
-            out.append((nodes[own], nodes[first[own]], sim[own, first[own]]))
-            size += len(at[0]) + len(own)
+            x, y = _forest(sim, threshold)
+            out.append((nodes[x], nodes[y], sim[x, y]))
+            size += len(at[0]) + len(x)
             if size > 100_000:
                 yield from _edges(out)
                 out, size = [], 0
@@ -158,7 +181,7 @@ def _descend(spark: SparkSession, vectors: DataFrame, lists: DataFrame, threshol
     rows = met.join(vectors.select("node", "half").join(farthest, "node", "left"), "node")
     rows = rows.select("at", "node", "half", F.coalesce("least", F.lit(-2.0).cast("float")).alias("least"))
     rows = rows.repartition(shuffle_partitions(spark), "at").sortWithinPartitions("at", "node")
-    found = rows.mapInArrow(_nearest(["at"], LIST // 2, threshold - SLACK), "a long, b long, sim float")
+    found = rows.mapInArrow(_nearest(["at"], LIST // 2, threshold), "a long, b long, sim float")
     return lists.select("a", "b", "sim").unionByName(found)
 
 
@@ -170,7 +193,7 @@ def _first_graph(spark: SparkSession, vectors: DataFrame, count: int, threshold:
     keys = ["table", "code", "part"]
     met = codes.join(sizes, ["table", "code"]).select("node", "table", "code", part).join(vectors.select("node", "half"), "node")
     met = met.repartition(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys, "node")
-    return met.mapInArrow(_nearest(keys, LIST // 2, threshold - SLACK), "a long, b long, sim float")
+    return met.mapInArrow(_nearest(keys, LIST // 2, threshold), "a long, b long, sim float")
 
 
 def _confirmed(vectors: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:

@@ -164,6 +164,15 @@ def test_saturated_group_is_counted_in_blocks(spark, monkeypatch):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == vector_links(rows)
 
 
+def test_a_block_loses_no_bridge():
+    # Two tight groups, nodes dealt in turns, and one link between them (nodes 8 and 9, 23 degrees).
+    degrees = [-1, 32, -0.8, 31.8, -0.6, 31.6, -0.4, 31.4, 4, 27, -0.2, 31.2, 0, 31]
+    x = np.array([[np.cos(np.radians(d)), np.sin(np.radians(d))] for d in degrees], np.float16)
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * 14), pa.array(range(14)), pa.array([v.tobytes() for v in x], pa.binary())], names=["at", "node", "half"])
+    (found,) = near_vectors._nearest(["at"], 4, 0.9)(iter([batch]))
+    assert (8, 9) in {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in found.to_pylist()}
+
+
 def test_quality(spark, empty):
     good = [(i, prose(i, 30 + i % 50)) for i in range(0, 400)]
     junk = [(i, " ".join(w + "$$$" for w in prose(i, 20).split()) if i % 2 else "spam " * 40) for i in range(400, 600)]
