@@ -1,14 +1,16 @@
 """Embedding near-dedup by NN-descent.
 
 1. Vectors are scaled to length one; equal ones are one class.
-2. A first graph: blocks of vectors with equal signs on random hyperplanes keep their nearest.
+2. A first graph: blocks of vectors with equal signs on random hyperplanes keep their nearest. There are so many tables
+   that a pair at the threshold meets in none with probability ``MISSED``; a bucket beyond a block is compared block by block.
 3. NN-descent: the lists of neighbours, both ways, meet at their common neighbour; what is nearer
-   than a list's farthest enters it. A list full of links is saturated and is enlarged.
+   than a list's farthest enters it. A list full of links is saturated and is enlarged. Rounds end when few links are new.
 4. Links found are confirmed in double precision; their components are the candidate groups.
 5. Within a component, blocks of at most ``2 * BLOCK`` vectors count all links. This is the exact way for what lists
    cannot hold, and moves a group's rows, never its pairs.
-6. A fixed number of vectors is compared with all others; if fewer links than wanted were known, the graph
-   is refined further with new hyperplanes, and what the audit found is added.
+6. A fixed number of vectors, and as many that stand for one component each, are compared with all others. If a smaller share
+   of an audited vector's links than wanted was known, in the mean of either sample, the graph is refined with new
+   hyperplanes; if that does not do, all vectors are compared in blocks. What the audit found is added.
 
 Defined results: vectors that are null, of another length than most, zero, or with null or non-finite components are linked with
 nothing and stay; a null vec_id is linked with nothing and stays; rows repeated under one id are one vector if they
@@ -29,9 +31,11 @@ from meterlake.llm.common import binary_parts, runs, shuffle_partitions, stored
 from meterlake.llm.components import components
 
 LIST, MOST_LIST = 8, 32
-TABLES, TABLE_BLOCK = 6, 128
-ROUNDS, MORE_ROUNDS = 2, 2
-BLOCK = 512
+TABLE_BLOCK, MISSED = 128, 0.001
+#: Rounds of descent before each audit, at least and at most; they end when this share of the links in lists is new.
+ROUNDS, MOST_ROUNDS, FEW = 2, 8, 0.001
+MORE_ROUNDS = 1
+BLOCK, WHOLE_BLOCK = 512, 1024
 AUDIT_ROWS, WANTED_RECALL = 256, 0.999
 #: Half precision loses less than this in a cosine.
 SLACK = 0.005
@@ -115,7 +119,10 @@ def _forest(sim: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
 
 def _nearest(keys: list[str], most: int, threshold: float):
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of the rows that meet under a key, each one's nearest, and a forest of their links."""
+        """Of the rows that meet under a key, each one's nearest, and a forest of their links.
+
+        Where two parts of a bucket meet, only the forest of the links between them.
+        """
         out, size = [], 0
         for group in runs(batches, keys):
             nodes = group.column("node").to_numpy()
@@ -124,6 +131,16 @@ def _nearest(keys: list[str], most: int, threshold: float):
             x = _matrix(group.column("half"), np.float16).astype(np.float32)
             sim = x @ x.T
             np.fill_diagonal(sim, -2)
+            if "i" in keys and group.column("i")[0].as_py() != group.column("j")[0].as_py():
+                part = group.column("part").to_numpy()
+                sim[part[:, None] == part[None, :]] = -2
+                x, y = _forest(sim, threshold)
+                out.append((nodes[x], nodes[y], sim[x, y]))
+                size += len(x)
+                if size > 100_000:
+                    yield from _edges(out)
+                    out, size = [], 0
+                continue
             floor = group.column("least").to_numpy() if "least" in group.column_names else np.full(len(nodes), -2.0)
             k = min(most, len(nodes) - 1)
             near = np.argpartition(-sim, k - 1, 1)[:, :k]
@@ -185,13 +202,35 @@ def _descend(spark: SparkSession, vectors: DataFrame, lists: DataFrame, threshol
     return lists.select("a", "b", "sim").unionByName(found)
 
 
-def _first_graph(spark: SparkSession, vectors: DataFrame, count: int, threshold: float, seed: int) -> DataFrame:
+def _tables(count: int, threshold: float) -> tuple[int, int]:
+    """Bits of a table, and the tables in one of which a pair at the threshold meets but for a chance of ``MISSED``."""
     bits = max(1, math.ceil(math.log2(max(2.0, count / (TABLE_BLOCK / 2)))))
-    codes = vectors.select("node", "half").mapInArrow(_codes(seed, TABLES, bits), "node long, table int, code long")
+    together = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return bits, 1 if together >= 1 else max(1, math.ceil(math.log(MISSED) / math.log1p(-together)))
+
+
+def _paired(rows: DataFrame, block: int) -> DataFrame:
+    """``rows`` (with ``node`` and ``rows``, the size of their bucket) once for each pair of parts (i, j) of the bucket that they are in."""
+    blocks = F.ceil(F.col("rows") / block).cast("int")
+    met = rows.withColumn("blocks", blocks).withColumn("part", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("rows", "blocks", "other")
+
+
+def _first_graph(spark: SparkSession, vectors: DataFrame, count: int, threshold: float, seed: int) -> DataFrame:
+    bits, tables = _tables(count, threshold)
+    codes = vectors.select("node", "half").mapInArrow(_codes(seed, tables, bits), "node long, table int, code long")
     sizes = codes.groupBy("table", "code").agg(F.count("*").alias("rows")).where("rows > 1")
-    part = F.pmod(F.xxhash64("node", F.lit(seed)), F.ceil(F.col("rows") / TABLE_BLOCK)).alias("part")
-    keys = ["table", "code", "part"]
-    met = codes.join(sizes, ["table", "code"]).select("node", "table", "code", part).join(vectors.select("node", "half"), "node")
+    keys = ["table", "code", "i", "j"]
+    met = _paired(codes.join(sizes, ["table", "code"]), BLOCK).join(vectors.select("node", "half"), "node")
+    met = met.repartition(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys, "node")
+    return met.mapInArrow(_nearest(keys, LIST // 2, threshold), "a long, b long, sim float")
+
+
+def _compared(spark: SparkSession, vectors: DataFrame, count: int, threshold: float) -> DataFrame:
+    """Edges that connect what the links of all vectors connect, from comparing all with all."""
+    keys = ["i", "j"]
+    met = _paired(vectors.select("node", "half", F.lit(count).alias("rows")), WHOLE_BLOCK)
     met = met.repartition(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys, "node")
     return met.mapInArrow(_nearest(keys, LIST // 2, threshold), "a long, b long, sim float")
 
@@ -211,9 +250,16 @@ def _confirmed(vectors: DataFrame, edges: DataFrame, threshold: float) -> DataFr
     return likely.join(left, "a").join(right, "b").select("a", "b", "va", "vb").mapInArrow(check, "a long, b long")
 
 
-def _audit(spark: SparkSession, vectors: DataFrame, threshold: float) -> DataFrame:
-    """All links (a, b) of the ``AUDIT_ROWS`` vectors with the smallest hashes."""
-    sample = vectors.orderBy(F.xxhash64("node", F.lit(5)), "node").limit(AUDIT_ROWS).select("node", "vector").collect()
+def _audited(spark: SparkSession, vectors: DataFrame, groups: DataFrame) -> DataFrame:
+    """The ``AUDIT_ROWS`` vectors with the smallest hashes (``alone`` 0), and as many of those with the smallest id of their component (1)."""
+    one_each = vectors.join(groups.where("node <> component").select("node"), "node", "left_anti")
+    chosen = [rows.orderBy(F.xxhash64("node", F.lit(5 + n)), "node").limit(AUDIT_ROWS).select("node", "vector", F.lit(n).alias("alone")) for n, rows in enumerate((vectors, one_each))]
+    return stored(spark, chosen[0].unionByName(chosen[1]), "audited")
+
+
+def _audit(spark: SparkSession, vectors: DataFrame, audited: DataFrame, threshold: float) -> DataFrame:
+    """All links (a, b) of the audited vectors."""
+    sample = audited.select("node", "vector").dropDuplicates(["node"]).collect()
     held = spark.sparkContext.broadcast((np.array([r["node"] for r in sample]), np.array([np.frombuffer(r["vector"]) for r in sample])))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,8 +273,18 @@ def _audit(spark: SparkSession, vectors: DataFrame, threshold: float) -> DataFra
     return vectors.select("node", "vector").mapInArrow(compare, "a long, b long")
 
 
+def _recall(audited: DataFrame, truth: DataFrame, groups: DataFrame) -> float:
+    """The share of an audited vector's links that lie within its component, in the mean of each sample's linked vectors; the lower mean."""
+    of_a = groups.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    of_b = groups.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    known = truth.join(of_a, "a", "left").join(of_b, "b", "left").select("a", F.coalesce(F.col("ca") == F.col("cb"), F.lit(False)).cast("double").alias("known"))
+    each = known.groupBy("a").agg(F.avg("known").alias("known"))
+    means = audited.select(F.col("node").alias("a"), "alone").join(each, "a").groupBy("alone").agg(F.avg("known").alias("mean"))
+    return means.agg(F.coalesce(F.min("mean"), F.lit(1.0))).first()[0]
+
+
 def linked_vectors(spark: SparkSession, embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """vec_id, n_links, component_id, kept and audit_recall (of the links of audited vectors, before what the audit added)."""
+    """vec_id, n_links, component_id, kept and audit_recall (see ``_recall``; before what the audit added)."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = stored(spark, rows.mapInArrow(_unit, "vec_id long, vector binary, half binary"), "unit-vectors")
     lengths = rows.where("vector IS NOT NULL").groupBy(F.octet_length("vector").alias("length")).agg(F.count("*").alias("n"))
@@ -239,11 +295,15 @@ def linked_vectors(spark: SparkSession, embeddings: DataFrame, threshold: float
     count = classes.count()
 
     edges = stored(spark, _first_graph(spark, classes, count, threshold, 11), "graph")
-    links, sizes, truth, recall = None, None, None, 1.0
+    sizes, truth, before = None, None, None
     turn = 0
     for attempt in range(1 + MORE_ROUNDS):
-        for _ in range(ROUNDS):
+        for step in range(MOST_ROUNDS):
             lists = stored(spark, _lists(edges, sizes), "lists")
+            linked = lists.where(F.col("sim") >= threshold - SLACK).select("a", "b")
+            if before is not None and step >= ROUNDS and linked.join(before, ["a", "b"], "left_anti").count() <= FEW * linked.count():
+                break
+            before = linked
             full = lists.groupBy("a").agg(F.count("*").alias("n"), F.min("sim").alias("least")).where(F.col("least") >= threshold - SLACK)
             full = full.where(F.col("n") >= LIST).select("a", F.least(2 * F.col("n"), F.lit(MOST_LIST)).cast("int").alias("size"))
             sizes = stored(spark, full, "saturated")
@@ -252,15 +312,18 @@ def linked_vectors(spark: SparkSession, embeddings: DataFrame, threshold: float
             turn += 1
         links = stored(spark, _confirmed(classes, edges, threshold), "links")
         groups = stored(spark, components(spark, links), "groups")
-        truth = truth if truth is not None else stored(spark, _audit(spark, classes, threshold), "audit")
-        of_a = groups.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-        of_b = groups.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-        known = truth.join(of_a, "a", "left").join(of_b, "b", "left")
-        total, right = known.agg(F.count("*"), F.coalesce(F.sum((F.col("ca") == F.col("cb")).cast("int")), F.lit(0))).first()
-        recall = right / total if total else 1.0
-        if recall >= WANTED_RECALL or attempt == MORE_ROUNDS:
+        if truth is None:
+            audited = _audited(spark, classes, groups)
+            truth = stored(spark, _audit(spark, classes, audited, threshold), "audit")
+        recall = _recall(audited, truth, groups)
+        if recall >= WANTED_RECALL:
             break
-        edges = stored(spark, edges.unionByName(_first_graph(spark, classes, count, threshold, 100 + attempt)), "graph")
+        if attempt < MORE_ROUNDS:
+            edges = stored(spark, edges.unionByName(_first_graph(spark, classes, count, threshold, 100 + attempt)), "graph")
+    if recall < WANTED_RECALL:
+        edges = stored(spark, _compared(spark, classes, count, threshold), "compared")
+        links = stored(spark, _confirmed(classes, edges, threshold), "links")
+        recall = _recall(audited, truth, components(spark, links))
     # An id with several vectors is several nodes that belong together.
     several = usable.groupBy("vec_id").agg(F.min("vector").alias("lo"), F.max("vector").alias("hi")).where("lo <> hi")
     own = usable.join(several.select("vec_id"), "vec_id").select("vec_id", "vector").join(classes.select("vector", "node"), "vector")
@@ -269,10 +332,7 @@ def linked_vectors(spark: SparkSession, embeddings: DataFrame, threshold: float
     groups = stored(spark, components(spark, links), "groups")
 
     sized = groups.groupBy("component").agg(F.count("*").alias("rows"))
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    met = groups.join(sized, "component").withColumn("blocks", blocks)
-    met = met.withColumn("part", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("node", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    met = _paired(groups.join(sized, "component"), BLOCK)
     keys = ["component", "i", "j"]
     met = met.join(classes.select("node", "copies", "vector"), "node").repartition(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys, "node")
     # A component of several blocks holds the pairs within a block once, under i = j.

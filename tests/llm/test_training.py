@@ -10,6 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from brute import mix_targets, near_links, personal, secrets, sha, tiktoken_encoding, vector_links
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from meterlake.llm import bpe, chat, components, exact_dedup, html_text, minhash, mixing, near_vectors, pii, quality
@@ -164,6 +165,33 @@ def test_saturated_group_is_counted_in_blocks(spark, monkeypatch):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == vector_links(rows)
 
 
+def test_pairs_beside_a_large_group(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(700, 24))
+    x[:300] = x[0] + rng.normal(size=(300, 24)) * 0.05
+    x[300:320] = x[320:340] + rng.normal(size=(20, 24)) * 0.35 * np.linalg.norm(x[320:340], axis=1)[:, None] / np.sqrt(24)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    # A search that finds the group's links only, and an audit of which the group's links are nearly all.
+    monkeypatch.setattr(near_vectors, "AUDIT_ROWS", 60)
+    monkeypatch.setattr(near_vectors, "MOST_LIST", 8)
+
+    def of_the_group(spark, vectors, count, *_):
+        nodes = vectors.orderBy("least_id").limit(300).select("node")
+        return nodes.select(F.col("node").alias("a")).crossJoin(nodes.agg(F.min("node").alias("b"))).where("a <> b").withColumn("sim", F.lit(1.0).cast("float"))
+
+    monkeypatch.setattr(near_vectors, "_first_graph", of_the_group)
+    monkeypatch.setattr(near_vectors, "_descend", lambda spark, vectors, lists, *_: lists.select("a", "b", "sim"))
+    found = near_vectors.linked_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == vector_links(rows)
+    assert {r["audit_recall"] for r in found} == {1.0}
+
+
+def test_tables_follow_the_bits():
+    for count in (500, 10_000, 1_000_000):
+        bits, tables = near_vectors._tables(count, 0.9)
+        assert (1 - 0.8564**bits) ** tables <= 0.0011, count
+
+
 def test_a_block_loses_no_bridge():
     # Two tight groups, nodes dealt in turns, and one link between them (nodes 8 and 9, 23 degrees).
     degrees = [-1, 32, -0.8, 31.8, -0.6, 31.6, -0.4, 31.4, 4, 27, -0.2, 31.2, 0, 31]
