@@ -5,7 +5,7 @@ characters and tags within links. Its density is characters per tag, adjusted by
 densities have the largest sum holds the article. The least density on its path to the body
 is the threshold from which blocks outside it count as well.
 
-Elements that by name, role or class are menus, headers, footers, sidebars, notices, adverts, forms or
+Elements end where HTML lets their end tags be omitted, left out or not. Elements that by name, role or class are menus, headers, footers, sidebars, notices, adverts, forms or
 reader comments are left out before densities are computed. White space is U+0020 and U+0009 to U+000D.
 
 Defined results: a null or empty page, and one without text in its body, gives an empty string; pages cut off
@@ -17,6 +17,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,7 +31,7 @@ _LEFT_OUT = frozenset("head nav footer aside form button select option textarea
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 _BLOCKS = frozenset("html body main article section header div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption address details summary hgroup center".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_CLOSES_P = _BLOCKS - {"html", "body"}
+_CLOSES_P = _BLOCKS - {"html", "body"} | {"nav", "footer", "aside", "form", "fieldset", "menu", "dialog"}
 _SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _WITHIN = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
 _NAMES = re.compile(
@@ -77,10 +78,12 @@ def _is_left_out(name: str, attributes: str, inside: bool) -> bool:
 
 def _tree(page: str) -> _Element:
     root = top = _Element("html", None, False)
-    inside, links, dropped, at = 0, 0, [], 0
+    inside, links, at = 0, 0, 0
+    left_out = 0  # open elements that are left out
+    inline: Counter[str] = Counter()  # open elements that are no blocks: what is left out, and those of its name inside it
 
     def text(raw: str) -> None:
-        if raw and not dropped:
+        if raw:
             value = html.unescape(raw) if "&" in raw else raw
             top.parts.append(value)
             size = len(_SPACE.sub("", value))
@@ -88,17 +91,25 @@ def _tree(page: str) -> _Element:
             if links:
                 top.link_chars += size
 
+    def leave(node: _Element) -> None:
+        """``node`` and what is open in it ends."""
+        nonlocal top, inside, left_out, links
+        while True:
+            ended, top = top, top.parent
+            inside -= ended.name in ("article", "main")
+            if ended.left_out:
+                left_out -= 1
+                links = 0
+            if ended.name not in _BLOCKS:
+                inline[ended.name] -= 1
+            if ended is node:
+                return
+
     def close(name: str) -> None:
-        nonlocal top, inside
         node = top
         while node is not root:
             if node.name == name:
-                while top is not node:
-                    inside -= top.name in ("article", "main")
-                    top = top.parent
-                inside -= top.name in ("article", "main")
-                top = top.parent
-                return
+                return leave(node)
             node = node.parent
 
     for m in _TOKENS.finditer(page):
@@ -108,48 +119,49 @@ def _tree(page: str) -> _Element:
         if not name:
             continue
         closing, attributes = (m[2] or m[5]) == "/", m[4] or m[7] or ""
-        if dropped:  # inside something left out, only its own name counts
-            if name == dropped[0]:
-                if closing:
-                    dropped.pop()
-                elif name not in _VOID and not attributes.endswith("/"):
-                    dropped.append(name)
-                continue
-            if not (closing and name in ("body", "html")) and not (dropped[0] == "head" and name == "body"):
-                continue
-            dropped.clear()
         if closing:
-            if name == "a":
+            if name == "a" and not inline[name]:
                 links = max(0, links - 1)
-            elif name in _BLOCKS:
+            elif name in ("body", "html"):
+                while left_out:
+                    leave(top)
+            elif name in _BLOCKS or inline[name]:
                 close(name)
             continue
-        if _is_left_out(name, attributes, inside > 0):
-            if name not in _VOID and not attributes.endswith("/"):
-                dropped.append(name)
+        if inline["head"] and (name == "body" or name in _BLOCKS):
+            close("head")
+        drop = _is_left_out(name, attributes, inside > 0)
+        if drop and (name in _VOID or attributes.endswith("/")):
+            continue
+        if name in _CLOSES_P:
+            node = top
+            while node is not root and node.name not in _CLOSES_P:
+                node = node.parent
+            if node.name == "p":
+                leave(node)
+        if name in _SAME_CLOSES:
+            node = top
+            while node is not root and node.name not in _WITHIN.get(name, ()):
+                if node.name in _SAME_CLOSES[name]:
+                    leave(node)
+                    break
+                node = node.parent
+        block = name in _BLOCKS and name not in ("html", "body")
+        if block or drop or inline[name] and name not in _VOID:
+            child = _Element(name, top, drop)
+            top.parts.append(child)
+            top = child
+            inside += name in ("article", "main")
+            left_out += drop
+            inline[name] += not block
+            links = 0 if block else links
             continue
         top.tags += 1
         if name == "a":
             links += 1
             top.link_tags += 1
-        elif name == "br" or name in _VOID:
+        elif name in _VOID:
             top.parts.append(" ")
-        elif name in _BLOCKS and name not in ("html", "body"):
-            if name in _CLOSES_P and top.name == "p":
-                close("p")
-            if name in _SAME_CLOSES:
-                node = top
-                while node is not root and node.name not in _WITHIN.get(name, ()):
-                    if node.name in _SAME_CLOSES[name]:
-                        close(node.name)
-                        break
-                    node = node.parent
-            child = _Element(name, top, False)
-            top.parts.append(child)
-            top.tags -= 1
-            top = child
-            inside += name in ("article", "main")
-            links = 0
     text(page[at:])
     return root
 
@@ -164,12 +176,12 @@ def _density(chars: int, tags: int, link_chars: int, link_tags: int, share: floa
 
 
 def _ordered(root: _Element) -> list[_Element]:
-    """All elements, parents first."""
+    """All elements but those left out, parents first."""
     out, stack = [], [root]
     while stack:
         node = stack.pop()
         out.append(node)
-        stack.extend(p for p in node.parts if isinstance(p, _Element))
+        stack.extend(p for p in node.parts if isinstance(p, _Element) and not p.left_out)
     return out
 
 
@@ -218,7 +230,7 @@ def main_text(page: str | None) -> str:
         elif isinstance(item, str):
             if taken:
                 held.append(item)
-        else:
+        elif not item.left_out:
             end()
             if not taken and units:
                 taken = id(item) in units and (id(item) in path or item.density >= threshold)

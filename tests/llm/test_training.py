@@ -352,6 +352,13 @@ def test_html(open_, close):
     assert html_text.main_text(page) == TEXT
 
 
+@pytest.mark.parametrize("cut", ['<p class="notice">We use cookies', '<ul><li class="share">Share<li>Item</ul>', '<dl><dt class="share">Share<dd class="social">It</dl>', '<div><p class="notice">We use cookies</div>'])
+def test_left_out_elements_end_without_their_tags(cut):
+    found = html_text.main_text(f"<body>{cut}<article><p>First paragraph of the story, long enough.<p>Second paragraph.</article></body>")
+    assert found == "First paragraph of the story, long enough.\nSecond paragraph."
+
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", "<p>x"), (5, "u", "<article>a <!-- c --> b"), (5, "u", "<article>a <!-- c --> b"), (6, "u", "<div>" * 3_000 + "deep words here")]
     found = html_text.page_texts(spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, html string, text string")).collect()
