@@ -6,7 +6,7 @@ densities have the largest sum holds the article. The least density on its path
 is the threshold from which blocks outside it count as well.
 
 Elements end where HTML lets their end tags be omitted, left out or not. Elements that by name, role or class are menus, headers, footers, sidebars, notices, adverts, forms or
-reader comments are left out before densities are computed. White space is U+0020 and U+0009 to U+000D.
+reader comments are left out before densities are computed, unless they hold the page's only articles or, without any, most of its text outside links. White space is U+0020 and U+0009 to U+000D.
 
 Defined results: a null or empty page, and one without text in its body, gives an empty string; pages cut off
 anywhere are read as far as they go; rows repeated give a row each; an empty table gives no rows.
@@ -28,24 +28,27 @@ from meterlake.llm.common import pieces
 
 # Elements by what they are.
 _LEFT_OUT = frozenset("head nav footer aside form button select option textarea input label fieldset script style noscript template iframe object svg canvas dialog menu title".split())
+_NO_TEXT = frozenset("head button select option textarea script style noscript template iframe object svg canvas title".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 _BLOCKS = frozenset("html body main article section header div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption address details summary hgroup center".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES_P = _BLOCKS - {"html", "body"} | {"nav", "footer", "aside", "form", "fieldset", "menu", "dialog"}
 _SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _WITHIN = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert(?:s|isements?|ising)?|adsense|banner|sponsor(?:ed|s)?|promo(?:tion|s)?|cookies?|consent|gdpr|notices?|popup|modal|overlay|"
+# Class tokens and ids that are made of these words only, with words that say nothing between them.
+_MARKS = (
+    r"ads?|advert(?:s|isements?|ising)?|adsense|banner|sponsor(?:ed|s)?|promo(?:tion|s)?|cookies?|consent|gdpr|notices?|popup|modal|overlay|"
     r"nav(?:bar|igation)?|menus?|breadcrumbs?|pagination|pager|sidebars?|side|aside|widgets?|footer|foot|masthead|topbar|header|"
-    r"comments?|replies|respond|disqus|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|signup|login|search|toolbar|skip|hidden|copyright)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"comments?|replies|respond|disqus|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|signup|login|search|toolbar|skip|hidden|copyright"
 )
+_PLAIN = r"site|page|main|top|bottom|left|right|global|primary|secondary|post|article|body|list|items?|box|block|area|section|panel|bar|links?|icons?|buttons?|form|group|inner|reader|user|[0-9]+"
+_NAMES = re.compile(rf"(?:(?:{_PLAIN})[_-]+)*(?:{_MARKS})(?:[_-]+(?:{_MARKS}|{_PLAIN}))*", re.IGNORECASE)
 _TOKENS = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|template|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
-_ATTRIBUTES = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+_ATTRIBUTES = re.compile(r"([^\s\"'<>/=]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
@@ -71,7 +74,7 @@ def _is_left_out(name: str, attributes: str, inside: bool) -> bool:
         value, key = "".join(values).strip(), key.lower()
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             return True
-        if key == "role" and value.lower() in _ROLES or key in ("class", "id") and _NAMES.search(value):
+        if key == "role" and value.lower() in _ROLES or key in ("class", "id") and any(map(_NAMES.fullmatch, value.split())):
             return not (inside and name.startswith("h"))
     return False
 
@@ -185,9 +188,33 @@ def _ordered(root: _Element) -> list[_Element]:
     return out
 
 
+def _kept_again(root: _Element) -> None:
+    """Nothing left out stays so that holds the only articles, or without any the most of the text outside links."""
+    every, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        every.append(node)
+        stack.extend(p for p in node.parts if isinstance(p, _Element) and p.name not in _NO_TEXT)
+    out, plain = {}, {id(n): n.chars - n.link_chars for n in every}
+    holds = {id(n): n.name in ("article", "main") and not n.left_out for n in every}
+    for node in every:
+        out[id(node)] = node.left_out or node.parent is not None and out[id(node.parent)]
+    for node in reversed(every):
+        if node.parent is not None:
+            plain[id(node.parent)] += plain[id(node)]
+            holds[id(node.parent)] |= holds[id(node)] and plain[id(node)] > 0
+    if any(n.name in ("article", "main") and plain[id(n)] and not out[id(n)] for n in every):
+        return
+    anchored = holds[id(root)]
+    for node in every:
+        if node.left_out and (holds[id(node)] if anchored else 2 * plain[id(node)] > plain[id(root)]):
+            node.left_out = False
+
+
 def main_text(page: str | None) -> str:
     """The article of a page, a line for each block."""
     root = _tree(page or "")
+    _kept_again(root)
     nodes = _ordered(root)
     for node in reversed(nodes):
         if node.parent is not None:

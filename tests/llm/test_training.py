@@ -359,6 +359,17 @@ def test_left_out_elements_end_without_their_tags(cut):
 
 
 
+STORY = "<h1>Title</h1><p>First paragraph of the story, long enough to be read.<p>Second paragraph of the same story, as long."
+
+
+@pytest.mark.parametrize("mark", ['class="has-sidebar"', 'class="no-sidebar x"', 'class="content-sidebar-wrap"', 'class="overflow-hidden"', 'class="side-by-side"', 'style="overflow:hidden"', 'title="the hidden cost"', 'data-hidden="false"', 'data-id="search"', 'class="sidebar"'])
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_wrappers_are_not_left_out(mark, inner):
+    found = html_text.main_text(f"<body><div {mark}><{inner}>{STORY}</{inner}></div><div class='site-footer'>Foot</div></body>")
+    assert found.splitlines() == ["Title", "First paragraph of the story, long enough to be read.", "Second paragraph of the same story, as long."]
+
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", "<p>x"), (5, "u", "<article>a <!-- c --> b"), (5, "u", "<article>a <!-- c --> b"), (6, "u", "<div>" * 3_000 + "deep words here")]
     found = html_text.page_texts(spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, html string, text string")).collect()
