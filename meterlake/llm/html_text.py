@@ -2,7 +2,7 @@
 
 A page becomes a tree of its block elements. For each element: characters and tags below it, and
 characters and tags within links. Its density is characters per tag, adjusted by links; the element whose children's
-densities have the largest sum holds the article. The least density on its path to the body
+densities have the largest sum holds the article; it is narrowed to an ``article`` (or ``main``) with most of its text outside links. The least density on its path to the body
 is the threshold from which blocks outside it count as well.
 
 Elements end where HTML lets their end tags be omitted, left out or not. Elements that by name, role or class are menus, headers, footers, sidebars, notices, adverts, forms or
@@ -68,7 +68,7 @@ def _is_left_out(name: str, attributes: str, inside: bool) -> bool:
         return True
     if name == "header" and not inside:
         return True
-    if name in ("html", "body", "main", "article") or not attributes.strip():
+    if name in ("html", "body", "main") or not attributes.strip():
         return False
     for key, *values in _ATTRIBUTES.findall(attributes):
         value, key = "".join(values).strip(), key.lower()
@@ -231,14 +231,21 @@ def main_text(page: str | None) -> str:
         node.density = _density(node.chars, node.tags, node.link_chars, node.link_tags, share)
         if node.parent is not None:
             node.parent.total += node.density
-    within = [n for a in anchors for n in _ordered(a)] or nodes
-    best = max((n for n in within if n.chars), key=lambda n: (n.total, n.density))
+    best = max((n for n in nodes if n.chars), key=lambda n: (n.total, n.density))
+    around = best
+    units = set(map(id, anchors))
+    while around is not None and id(around) not in units:
+        around = around.parent
+    if around is None:
+        most = max((n for n in _ordered(best) if id(n) in units), key=lambda n: n.chars - n.link_chars, default=None)
+        if most is not None and 2 * (most.chars - most.link_chars) > best.chars - best.link_chars:
+            around = best = most
     threshold, node, path = best.density, best, set()
     while node is not None:
         path.add(id(node))
         threshold = min(threshold, node.density)
         node = node.parent
-    units = set(map(id, anchors))
+    units = units if around is not None else set()
     # (element, string or end of a block, whether it is taken)
     stack: list[tuple] = [(root, False)]
     lines: list[str] = []
@@ -260,7 +267,7 @@ def main_text(page: str | None) -> str:
         elif not item.left_out:
             end()
             if not taken and units:
-                taken = id(item) in units and (id(item) in path or item.density >= threshold)
+                taken = id(item) in units and (id(item) in path or item.density >= threshold) or item.name == "h1" and id(item.parent) in path
             elif not taken and id(item) in path:
                 taken = item is best
             elif not taken:

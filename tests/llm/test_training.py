@@ -370,6 +370,16 @@ def test_wrappers_are_not_left_out(mark, inner):
 
 
 
+def test_articles_count_by_their_text():
+    cards = "".join(f"<article><a href=/{i}>Teaser number {i}</a></article>" for i in range(3))
+    comments = "".join(f'<article class="comment-body"><p>A reader says something rather long, {i}.</p></article>' for i in range(2))
+    lines = ["Title", "First paragraph of the story, long enough to be read.", "Second paragraph of the same story, as long."]
+    assert html_text.main_text(f"<body><div class=content>{STORY}</div><div>{cards}</div></body>").splitlines()[:3] == lines
+    assert html_text.main_text(f"<body><div class=content>{STORY}</div><div class=thread>{comments}</div></body>").splitlines() == lines
+    assert html_text.main_text("<body><h1>Title</h1><article>" + STORY.replace("<h1>Title</h1>", "") + "</article></body>").splitlines() == lines
+
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", "<p>x"), (5, "u", "<article>a <!-- c --> b"), (5, "u", "<article>a <!-- c --> b"), (6, "u", "<div>" * 3_000 + "deep words here")]
     found = html_text.page_texts(spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, html string, text string")).collect()
