@@ -244,6 +244,16 @@ def test_boosted_candidates_add_to_the_base(spark, sf_dir):
     assert 6 <= added < 0.02 * len(rows)
 
 
+def test_obfuscated_formats_are_learnt_as_right(spark):
+    texts = [f"write to {prose(i, 3)} name{i} [at] host{i} [dot] com or a{i}@b.org {prose(i, 4)}" for i in range(120)]
+    texts += [f"{prose(i, 2)} see 300.1.1.{i} and 1.2.3.{i} number 1234 5678 1234 {5000 + i} {prose(i, 3)}" for i in range(120)]
+    texts += [" ".join(f"1234 5678 {i:04} 0000," for i in range(500))]
+    rows = pii.personal_spans(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in rows:
+        if r["doc_id"] < 120:
+            assert r["spans"].count("email:") == 2, (texts[r["doc_id"]], r["spans"])
+
+
 def test_secrets(spark, docs, empty):
     expected = sorted(((i, *secrets(t)[:4]) for i, t in texts_of(docs)), key=repr)
     assert sorted_rows(ledger.secret_spans(spark, docs).drop("spans")) == expected
