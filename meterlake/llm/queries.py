@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import bpe, chat, exact_dedup, html_text, minhash, mixing, near_vectors, pii, quality, secrets
+from meterlake.llm import bpe, chat, collocations, exact_dedup, html_text, minhash, mixing, near_vectors, pii, quality, secrets
 from meterlake.llm.common import table
 
 
@@ -52,8 +52,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    each = (op1_near_vectors, op2_exact_dedup, op3_quality, op4_pii, op5_bpe, op6_mixing, op7_chat, op8_minhash, op9_html, op10_secrets)
+    each = (op1_near_vectors, op2_exact_dedup, op3_quality, op4_pii, op5_bpe, op6_mixing, op7_chat, op8_minhash, op9_html, op10_secrets, op11_collocations)
     return {query.__name__: query for query in each}
 
 
@@ -86,6 +90,41 @@ SELECT conv_id, perspective, position, turn, speaker, role, segment, "end" - len
 FROM placed
 """
 
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), lists AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM lists GROUP BY lang
+), spans AS (
+  SELECT lang, w, i, k FROM lists, unnest(range(1, len(w) + 1)) AS starts(i), unnest([1, 2, 3, 4]) AS lengths(k) WHERE i + k - 1 <= len(w)
+), phrases AS (
+  SELECT lang, w[i : i + k - 1] AS p, count(*) AS f FROM spans GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+  SELECT c.lang, c.p, c.f AS a, k, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.f) // (x.f + y.f) AS BIGINT) AS score
+  FROM phrases c, unnest(range(1, len(c.p))) AS places(k)
+  JOIN phrases x ON x.lang = c.lang AND x.p = c.p[1 : k]
+  JOIN phrases y ON y.lang = c.lang AND y.p = c.p[k + 1 : len(c.p)]
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inner_phrases AS (
+  SELECT g.lang, g.p[i : i + k - 1] AS p, max(g.f) AS f
+  FROM phrases g, unnest(range(1, len(g.p) + 1)) AS starts(i), unnest([2, 3]) AS lengths(k)
+  WHERE k < len(g.p) AND i + k - 1 <= len(g.p)
+  GROUP BY ALL
+), kept AS (
+  SELECT l.* FROM lowest l LEFT JOIN inner_phrases i ON i.lang = l.lang AND i.p = l.p AND 100 * i.f >= 80 * l.a WHERE i.f IS NULL
+), named AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score FROM kept
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM named JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2, "op7_chat": OP7}
+    return {"op2_exact_dedup": OP2, "op7_chat": OP7, "op11_collocations": OP11}
