@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import bpe, chat, collocations, exact_dedup, html_text, minhash, mixing, near_vectors, pii, quality, secrets
+from meterlake.llm import bpe, chat, collocations, exact_dedup, html_text, minhash, mixing, near_vectors, pii, quality, secrets, token_files
 from meterlake.llm.common import table
+from meterlake.session import scratch_dir
 
 
 def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +57,13 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.filed_and_read(spark, table(spark, sf_dir, "documents"), scratch_dir(spark, "token-files"), tokenizer)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    each = (op1_near_vectors, op2_exact_dedup, op3_quality, op4_pii, op5_bpe, op6_mixing, op7_chat, op8_minhash, op9_html, op10_secrets, op11_collocations)
+    each = (op1_near_vectors, op2_exact_dedup, op3_quality, op4_pii, op5_bpe, op6_mixing, op7_chat, op8_minhash, op9_html, op10_secrets, op11_collocations, op12_token_files)
     return {query.__name__: query for query in each}
 
 
