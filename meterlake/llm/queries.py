@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import bpe, chat, collocations, exact_dedup, html_text, minhash, mixing, near_vectors, pii, quality, secrets, token_files
+from meterlake.llm import bpe, chat, collocations, exact_dedup, html_text, minhash, mixing, near_vectors, pii, quality, repair, secrets, token_files
 from meterlake.llm.common import table
 from meterlake.session import scratch_dir
 
@@ -62,8 +62,12 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.filed_and_read(spark, table(spark, sf_dir, "documents"), scratch_dir(spark, "token-files"), tokenizer)
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audited(spark, table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    each = (op1_near_vectors, op2_exact_dedup, op3_quality, op4_pii, op5_bpe, op6_mixing, op7_chat, op8_minhash, op9_html, op10_secrets, op11_collocations, op12_token_files)
+    each = (op1_near_vectors, op2_exact_dedup, op3_quality, op4_pii, op5_bpe, op6_mixing, op7_chat, op8_minhash, op9_html, op10_secrets, op11_collocations, op12_token_files, op13_repair)
     return {query.__name__: query for query in each}
 
 
