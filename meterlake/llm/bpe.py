@@ -12,6 +12,7 @@ doc_id is kept; an empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -23,12 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import pieces, whole_text
+from meterlake.llm.part_cache import PartCache
 
-#: Parts kept from batch to batch; at this many the older half goes. Only speed depends on it.
-CACHE_ENTRIES = 250_000
+#: Parts, and pieces of them, kept from batch to batch, in each of two generations. Only speed depends on it.
+CACHE_ENTRIES = 80_000
 FITS_ENTRIES = 300_000
 _NEVER = 1 << 60
-_SHORT = ((), (1,), (2, 1), (3, 2, 1), (4, 3, 2, 1))
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -47,6 +48,7 @@ class Vocabulary:
         self.longest = max(map(len, ranks))
         self.lengths: dict[bytes, list[int]] = {}  # by the last four bytes: lengths of tokens over four bytes
         self._fits: dict[int, bool] = {}
+        self._endings: dict[bytes, tuple[tuple[int, int | None], ...]] = {}
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             if len(token) > 4 and len(token) not in (known := self.lengths.setdefault(token[-4:], [])):
                 known.append(len(token))
@@ -78,19 +80,28 @@ class Vocabulary:
             else:
                 until_a, a = a, right[a]
 
+    def _ending(self, tail: bytes) -> tuple[tuple[int, int | None], ...]:
+        """Length and rank of the tokens that may end a string with these last four bytes (or fewer, if it has no more).
+
+        A longer token depends on bytes before, so its rank is open. Only one token is right, so lengths stand as they are likely.
+        """
+        short = [(n, self.ranks[tail[-n:]]) for n in (3, 2, 4) if n <= len(tail) and tail[-n:] in self.ranks]
+        if len(self._endings) > FITS_ENTRIES:
+            self._endings.clear()
+        found = self._endings[tail] = (*short, *((n, None) for n in self.lengths.get(tail, ())), (1, self.ranks[tail[-1:]]))
+        return found
+
     def extend(self, data: bytes, last: list[int], stop: int | None = None) -> None:
         """Add the last tokens of the prefixes of ``data`` that ``last`` lacks, up to ``stop`` bytes."""
-        ranks, fits, lengths = self.ranks, self._fits, self.lengths
+        ranks, fits, endings = self.ranks, self._fits, self._endings
         for end in range(len(last), (len(data) if stop is None else stop) + 1):
-            # Only one token is right, so the lengths are tried as they are likely.
-            for length in (3, 2, 4, *lengths.get(data[end - 4 : end], ()), 1) if end > 4 else _SHORT[end]:
+            tail = data[end - 4 : end] if end > 4 else data[:end]
+            for length, token in endings.get(tail) or self._ending(tail):
                 start = end - length
-                if start < 0:
-                    continue
-                token = ranks.get(data[start:end])
                 if token is None:
-                    continue
-                if start == 0:
+                    if start < 0 or (token := ranks.get(data[start:end])) is None:
+                        continue
+                if not start:
                     break
                 pair = last[start] << 32 | token
                 holds = fits.get(pair)
@@ -121,7 +132,7 @@ class Vocabulary:
     def encode(self, data: bytes) -> list[int]:
         return self.ids(self.prefixes(data))
 
-    def encode_all(self, pieces: set[str]) -> dict[str, list[int]]:
+    def encode_all(self, pieces: Iterable[str]) -> dict[str, list[int]]:
         """The encodings of many pieces: in sorted order each one's table goes on from the prefix it shares with the one before."""
         out, before, last = {}, b"", [-1]
         for piece in sorted(pieces):
@@ -177,15 +188,16 @@ class Encoder:
     """Texts to ids: each match of the pattern is encoded by itself.
 
     The pattern never matches across a space between two other characters, save at the space itself. So what stands between
-    such spaces is split and looked up by itself; what was not met before is encoded for a batch at once.
+    such spaces is a part looked up by itself; of a new part only the matches that were not met lately are encoded.
     """
 
     def __init__(self, vocabulary: Vocabulary, pattern: str) -> None:
         self.vocabulary = vocabulary
         self.find = regex.compile(pattern).findall
         self.odd = regex.compile(r"\s ").search
-        self.known: dict[str, tuple[str, bytes]] = {}  # a part with the space before it: its ids, decoded again
         self.names = {r: f" {r}" for r in vocabulary.bytes_of}
+        self.pieces = PartCache(self._coded, CACHE_ENTRIES)
+        self.parts = PartCache(self._joined, CACHE_ENTRIES)
 
     def _matches(self, part: str) -> list[str]:
         """The pattern's matches in a space and ``part``; letters, and letters before one mark, need no search."""
@@ -195,34 +207,39 @@ class Encoder:
             return [" " + part[:-1], part[-1]]
         return self.find(" " + part)
 
-    def _coded(self, ids: Iterable[int]) -> tuple[str, bytes]:
-        ids = list(ids)
-        return "".join(map(self.names.__getitem__, ids)), self.vocabulary.decode(ids)
+    def _coded(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Of each piece: its ids in decimal, each after a space, and the bytes that they decode to."""
+        encodings = self.vocabulary.encode_all(pieces)
+        for piece in pieces:
+            ids = encodings[piece]
+            yield "".join(map(self.names.__getitem__, ids)), self.vocabulary.decode(ids)
+
+    def _joined(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        matches = list(map(self._matches, parts))
+        coded = self.pieces.results(set(chain.from_iterable(matches)))
+        for pieces in matches:
+            yield self._together([coded[p] for p in pieces])
+
+    @staticmethod
+    def _together(rows: list[tuple[str, bytes]]) -> tuple[str, bytes]:
+        return rows[0] if len(rows) == 1 else ("".join([r[0] for r in rows]), b"".join([r[1] for r in rows]))
 
     def encode(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
         """Of each text: its ids in decimal, each after a space, and the bytes that they decode to."""
-        known = self.known
-        if len(known) > CACHE_ENTRIES:
-            for part in list(known)[: CACHE_ENTRIES // 2]:
-                del known[part]
-        plans, missing, pieces = [], set(), set()
+        plans, wanted, heads = [], set(), set()
         for text in texts:
             if self.odd(text):
                 head, parts = self.find(text), []
             else:
                 first, *parts = text.split(" ")
                 head = self.find(first)
-                missing |= set(parts).difference(known)
-            pieces.update(head)
+                wanted.update(parts)
+            heads.update(head)
             plans.append((head, parts))
-        matches = {part: self._matches(part) for part in missing}
-        pieces.update(chain.from_iterable(matches.values()))
-        ids_of = self.vocabulary.encode_all(pieces)
-        for part, found in matches.items():
-            known[part] = self._coded(chain.from_iterable(map(ids_of.__getitem__, found)))
+        known = self.parts.results(wanted)
+        coded = self.pieces.results(heads)
         for head, parts in plans:
-            rows = [self._coded(chain.from_iterable(map(ids_of.__getitem__, head))), *map(known.__getitem__, parts)]
-            yield "".join([r[0] for r in rows]), b"".join([r[1] for r in rows])
+            yield self._together([*[coded[p] for p in head], *map(known.__getitem__, parts)])
 
 
 @lru_cache(maxsize=2)
@@ -240,6 +257,13 @@ def encoded(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str,
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks.value, pattern)
+        gc.disable()  # the caches hold many small tuples and no cycles
+        try:
+            yield from encode_batches(encoder, batches)
+        finally:
+            gc.enable()
+
+    def encode_batches(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", 2 << 20):
             rows = []
             for listed, whole in encoder.encode(batch.column(1).to_pylist()):
