@@ -21,14 +21,15 @@ from meterlake.contracts import (
     base_contracts,
     contract_fields,
     read_contracts,
+    union_all,
 )
 from meterlake.functions.months import window_dates
 from meterlake.operators import coverage, dictionary, gold, quality, rules
 from meterlake.operators.silver import silver_trips
 from meterlake.plans import quality_store
 from meterlake.plans.refresh import refresh_months
-from meterlake.sources import landing, metadata
-from meterlake.sources.tables import Lake, TableSpec, ensure_table, publish
+from meterlake.sources import landing, manifest, metadata
+from meterlake.sources.tables import Lake, TableSpec, ensure_table, path_exists, publish
 from meterlake.streaming.ingest import bronze_spec, bronze_table, ingest_services, service_properties, start_over
 
 MONTH = "_reference_month"
@@ -227,6 +228,13 @@ def _gold_specs(config: JobConfig) -> list[TableSpec]:
     ]
 
 
+def _landing_files(spark: SparkSession, config: JobConfig, service: str) -> DataFrame:
+    """Manifest rows of a service's files; none if it has no folder yet."""
+    if not path_exists(spark, f"{config.lake.landing_path}/{service}"):
+        return spark.createDataFrame([], manifest.MANIFEST_COLUMNS)
+    return manifest.present_files(spark, config.lake, service)
+
+
 class LandingProblem(RuntimeError):
     """Landing files of the window are missing or damaged."""
 
@@ -234,15 +242,14 @@ class LandingProblem(RuntimeError):
 def check_landing(spark: SparkSession, config: JobConfig) -> None:
     """Stop unless the window is complete: every file intact, no month missing before its end.
 
-    Only the files of the window are opened, and of each only its first bytes and footer.
+    Only files that the manifest does not know yet are opened, and of each only its first bytes and footer.
     """
     in_window = F.col("reference_month").between(config.start_month, config.end_month)
     relevant = F.col("service").isin(*config.services) & (in_window | (F.col("reference_month") == ""))
-    root = config.lake.landing_path
-    files = landing.with_identity(landing.list_files(spark, root)).filter(relevant)
-    empty = landing.with_identity(landing.empty_files(spark, root)).filter(relevant)
-    present = files.select("path", "size_bytes").unionByName(empty.select("path", "size_bytes"))
-    damaged = landing.landing_integrity(landing.read_footers(present)).filter(F.col("status") != "INTACT")
+    files = union_all([_landing_files(spark, config, service) for service in config.services]).filter(relevant)
+    empty = landing.with_identity(landing.empty_files(spark, config.lake.landing_path)).filter(relevant)
+    damaged = files.filter(F.col("status") != "INTACT").select(landing.file_name(F.col("path")).alias("file_name"), "status")
+    damaged = damaged.unionByName(empty.select("file_name", F.lit("EMPTY").alias("status")))
     gaps = landing.landing_gaps(files, list(config.services), config.start_month, config.end_month)
     problems = damaged.select(F.col("file_name").alias("subject"), "status").unionByName(
         gaps.filter(~F.col("tolerated")).select(
@@ -355,8 +362,9 @@ def _layer(spark: SparkSession, config: JobConfig, name: str) -> quality.Layer:
     in_window = F.col(MONTH).between(config.start_month, config.end_month)
     if name == "landing":
         frame = landing.landing_canonical(
-            spark, lake.landing_path, "yellow", config.start_month, config.end_month, quality.landing_projection
-        )
+            spark, lake.landing_path, "yellow", config.start_month, config.end_month, quality.landing_projection,
+            _landing_files(spark, config, "yellow"),
+        )
         return quality.Layer(name, f"{lake.landing_path}/yellow", frame)
     if name == "bronze":
         table = bronze_table(lake, yellow)

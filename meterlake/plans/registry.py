@@ -133,13 +133,13 @@ def landing_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = landing.list_files(spark, f"{staged_landing(spark, sf_dir)}/yellow")
-    groups = landing.schema_groups(spark, landing.read_footers(files))
+    groups = landing.schema_groups(spark, landing.read_footers(files), files)
     return bronze_rows(spark, groups, base_contract("yellow")).drop("_source_file", "_ingested_at")
 
 
 def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = landing.list_files(spark, f"{staged_landing(spark, sf_dir)}/green")
-    groups = landing.schema_groups(spark, landing.read_footers(files))
+    groups = landing.schema_groups(spark, landing.read_footers(files), files)
     rows = bronze_rows(spark, groups, base_contract("green"))
     name = landing.file_name(F.col("_source_file"))
     return rows.groupBy(

@@ -8,7 +8,7 @@ schema, not once per file.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -171,8 +171,8 @@ def read_footers(files: DataFrame) -> DataFrame:
     return files.select("path", "size_bytes").mapInArrow(probe, FOOTER_COLUMNS)
 
 
-def landing_integrity(footers: DataFrame) -> DataFrame:
-    """A verdict per file: empty, too short, wrong magic bytes, unreadable footer, nameless month, or intact."""
+def landing_integrity(footers: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """A verdict per file, with the columns ``keep``: empty, too short, wrong magic bytes, unreadable footer, nameless month, or intact."""
     named = with_identity(footers)
     status = (
         F.when(F.col("size_bytes") == 0, "EMPTY")
@@ -183,7 +183,7 @@ def landing_integrity(footers: DataFrame) -> DataFrame:
         .otherwise("INTACT")
     )
     return named.select(
-        "path", "file_name", "service", "reference_month", "size_bytes", "footer_rows", status.alias("status")
+        "path", "file_name", "service", "reference_month", "size_bytes", "footer_rows", status.alias("status"), *keep
     )
 
 
@@ -219,7 +219,7 @@ def landing_gaps(
 
 @dataclass(frozen=True)
 class SchemaGroup:
-    """Files that share one physical schema."""
+    """Files that share one physical schema: patterns of whole folders, and single files of others."""
 
     schema: T.StructType
     paths: tuple[str, ...]
@@ -239,55 +239,81 @@ class SchemaGroup:
         return spark.read.schema(schema).parquet(*self.paths)
 
 
-def refuse_empty_files(spark: SparkSession, root: str) -> None:
-    """An error where a file below ``root`` has no byte yet: its upload may be under way."""
-    waiting = empty_files(spark, root)
-    example = waiting.agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("first")).first()
-    if example["files"]:
-        raise UnreadableFiles(f"{example['files']} landing file(s) are empty, the first is {example['first']}")
-
-
 class UnreadableFiles(RuntimeError):
     """Landing files whose footers cannot be read."""
 
 
-def schema_groups(spark: SparkSession, footers: DataFrame) -> list[SchemaGroup]:
-    """Collect file paths by physical schema.
+def fingerprint() -> Column:
+    """A digest of ``fields`` that the order of columns does not change; null for an unreadable file."""
+    return F.sha2(F.to_json(F.array_sort("fields")), 256)
+
+
+def folder_of(path: Column) -> Column:
+    return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
-    What reaches the driver is file metadata, the same list a Parquet read holds there
-    anyway; a streaming batch bounds it with ``maxFilesPerTrigger``. A file that is not
-    readable Parquet is an error: leaving it out would lose its month unnoticed.
+
+def group_places(footers: DataFrame, listing: DataFrame | None = None) -> DataFrame:
+    """fingerprint, one file as example, and the places to read: one row per schema and folder.
+
+    With ``listing``, all files of these folders, a folder whose every file has the same schema and is wanted is a
+    single pattern. So what leaves the tasks grows with folders, not with files.
     """
-    by_schema: dict[str, list[str]] = {}
-    unreadable = []
-    for row in footers.select("path", F.sha2(F.to_json(F.array_sort("fields")), 256).alias("fingerprint")).collect():
-        if row["fingerprint"] is None:
-            unreadable.append(row["path"])
-        else:
-            by_schema.setdefault(row["fingerprint"], []).append(row["path"])
-    if unreadable:
-        shown = ", ".join(sorted(unreadable)[:5])
-        raise UnreadableFiles(f"{len(unreadable)} landing file(s) are not readable Parquet, among them {shown}")
+    wanted = footers.select("path", folder_of(F.col("path")).alias("folder"), fingerprint().alias("fingerprint"))
+    each = wanted.groupBy("fingerprint", "folder").agg(
+        F.count(F.lit(1)).alias("files"), F.min("path").alias("example"), F.sort_array(F.collect_list("path")).alias("paths")
+    )
+    if listing is None:
+        return each.select("fingerprint", "example", F.col("paths").alias("places"))
+    there = listing.groupBy(folder_of(F.col("path")).alias("folder")).agg(F.count(F.lit(1)).alias("present"))
+    pattern = F.array(F.concat("folder", F.lit("/*.parquet")))
+    places = F.when(F.col("files") == F.col("present"), pattern).otherwise(F.col("paths"))
+    return each.join(there, "folder", "left").select("fingerprint", "example", places.alias("places"))
+
+
+def schema_groups(spark: SparkSession, footers: DataFrame, listing: DataFrame | None = None) -> list[SchemaGroup]:
+    """The files of ``footers`` (path and fields) by physical schema.
+
+    A streaming batch names its files one by one, as many as ``maxFilesPerTrigger`` lets in; a read of whole
+    folders gives their ``listing``. A file that is not readable Parquet is an error: leaving it out would lose its month unnoticed.
+    """
+    unreadable = footers.filter(F.col("fields").isNull())
+    shown = [row["path"] for row in unreadable.select("path").orderBy("path").take(5)]
+    if shown:
+        raise UnreadableFiles(f"{unreadable.count()} landing file(s) are not readable Parquet, among them {', '.join(shown)}")
+    examples: dict[str, str] = {}
+    places: dict[str, list[str]] = {}
+    for row in group_places(footers, listing).collect():
+        examples[row["fingerprint"]] = min(row["example"], examples.get(row["fingerprint"], row["example"]))
+        places.setdefault(row["fingerprint"], []).extend(row["places"])
     # Names that differ in case only are two columns here, whatever the session makes of them.
     exact = spark.newSession()
     exact.conf.set("spark.sql.caseSensitive", "true")
     return [
-        SchemaGroup(exact.read.parquet(paths[0]).schema, tuple(sorted(paths)))
-        for _, paths in sorted(by_schema.items())
+        SchemaGroup(exact.read.parquet(examples[key]).schema, tuple(sorted(paths))) for key, paths in sorted(places.items())
     ]
 
 
 def landing_canonical(
-    spark: SparkSession, root: str, service: str, start_month: str, end_month: str, project
+    spark: SparkSession,
+    root: str,
+    service: str,
+    start_month: str,
+    end_month: str,
+    project,
+    manifest: DataFrame | None = None,
 ) -> DataFrame:
     """Landing files of a month window in one shape, month taken from the file name.
 
-    ``project`` maps a physical frame to the wanted columns; ``reference_month`` is added.
+    ``project`` maps a physical frame to the wanted columns; ``reference_month`` is added. With
+    ``manifest``, the manifest rows of the service's files, no footer is read here.
     """
-    window = with_identity(list_files(spark, f"{root}/{service}")).filter(
-        F.col("reference_month").between(start_month, end_month)
-    )
-    groups = schema_groups(spark, read_footers(window))
+    files = list_files(spark, f"{root}/{service}") if manifest is None else manifest
+    window = F.col("reference_month").between(start_month, end_month)
+    if manifest is None:
+        described = read_footers(with_identity(files).filter(window))
+    else:
+        described = manifest.filter(window)
+    groups = schema_groups(spark, described, files)
     if not groups:
         raise FileNotFoundError(f"no {service} file between {start_month} and {end_month} below {root}")
     return union_all(
