@@ -6,7 +6,7 @@ can disagree.
 
 from __future__ import annotations
 
-from meterlake.contracts import FIXED_COLUMNS, FIXED_DICTIONARY_SLUGS, TECHNICAL_COLUMNS, base_contract
+from meterlake.contracts import FIXED_COLUMNS, TECHNICAL_COLUMNS, base_contract
 from meterlake.operators.quality import FIXED_DETAILS
 from meterlake.operators.rules import fixed_rule_document
 from meterlake.sources.metadata import ARTIFACTS, FIXED_ARTIFACT_NOTE, FIXED_NOTED_ARTIFACT
@@ -289,60 +289,52 @@ fields AS (
 
 # ---------------------------------------------------------------- coverage of contracts
 
-_ACTUAL = {
-    "yellow": {
-        "VendorID": "double|int32|int64",
-        "passenger_count": "double|int64",
-        "total_amount": "double|string",
-        "tpep_pickup_datetime": "timestamp[us]",
-        "tpep_dropoff_datetime": "timestamp[us]",
-        "PULocationID": "int64",
-        "fare_amount": "double",
-        "airport_fee": "double",
-        "meter_note": "string",
-        "_rescued_data": "string",
-    },
-    "green": {
-        "VendorID": "int64",
-        "passenger_count": "double|string",
-        "total_amount": "double",
-        "lpep_pickup_datetime": "timestamp[us]",
-        "lpep_dropoff_datetime": "timestamp[us]",
-        "PULocationID": "int64",
-        "fare_amount": "double",
-        "ehail_fee": "int64",
-    },
-    "fhv": {
-        "dispatching_base_num": "string",
-        "pickup_datetime": "timestamp[us]",
-        "dropOff_datetime": "timestamp[us]",
-        "PUlocationID": "int64",
-        "SR_Flag": "int32|int64",
-    },
-}
+#: What rows of each service hold: field, logical type, and the value in terms of ``trips``.
+_HELD = {
+    "yellow": [
+        ("VendorID", "long", "vendor"), ("passenger_count", "double", "passengers"), ("total_amount", "double", "amount"),
+        ("tpep_pickup_datetime", "timestamp", "pickup"), ("tpep_dropoff_datetime", "timestamp", "dropoff"),
+        ("PULocationID", "long", "user_id"), ("fare_amount", "double", "amount"),
+    ],
+    "green": [
+        ("VendorID", "long", "vendor"), ("passenger_count", "double", "passengers"), ("total_amount", "double", "amount"),
+        ("lpep_pickup_datetime", "timestamp", "pickup"), ("lpep_dropoff_datetime", "timestamp", "dropoff"),
+        ("PULocationID", "long", "user_id"), ("fare_amount", "double", "amount"),
+    ],
+    "fhv": [
+        ("dispatching_base_num", "string", "user_id"), ("pickup_datetime", "timestamp", "pickup"),
+        ("dropOff_datetime", "timestamp", "dropoff"), ("PUlocationID", "long", "user_id"), ("SR_Flag", "long", "vendor"),
+    ],
+    "fhvhv": [
+        ("hvfhs_license_num", "string", "user_id"), ("request_datetime", "timestamp", "pickup"),
+        ("pickup_datetime", "timestamp", "pickup"), ("dropoff_datetime", "timestamp", "dropoff"),
+        ("PULocationID", "long", "user_id"), ("trip_time", "long", "seconds"), ("driver_pay", "double", "amount"),
+    ],
+}
 
 
 def _coverage_sql() -> str:
-    expected = []
-    for service in FIXED_DICTIONARY_SLUGS:
+    expected, held = [], []
+    for service, fields in _HELD.items():
         contract = base_contract(service)
         for c in (*contract.columns, *TECHNICAL_COLUMNS):
             values = (service, contract.table, contract.dictionary_slug, c.name, c.logical_type, c.description)
             expected.append(f"({', '.join(map(_text, values))})")
-    actual = [
-        f"({_text(service)}, {_text(name)}, {_text(kind)})"
-        for service, columns in _ACTUAL.items()
-        for name, kind in columns.items()
-    ]
-    return f"""
-WITH expected(dataset, table_name, slug, name, kind, description) AS (VALUES {', '.join(expected)}),
-actual(dataset, name, kind) AS (VALUES {', '.join(actual)}),
+        of_service = "fhv" if service == "fhvhv" else service
+        lineage = [(c.name, c.logical_type, "month") for c in TECHNICAL_COLUMNS]
+        for name, kind, value in (*fields, *lineage, ("k", "long", "json_extract(props, '$.k')")):
+            held.append(
+                f"SELECT {_text(service)} AS dataset, {_text(name)} AS name, {_text(kind)} AS kind, count({value}) AS n "
+                f"FROM trips WHERE service = {_text(of_service)}"
+            )
+    return _with(TRIPS) + f""", expected(dataset, table_name, slug, name, kind, description) AS (VALUES {', '.join(expected)}),
+actual AS (SELECT * FROM ({' UNION ALL '.join(held)}) WHERE n > 0),
 identity AS (SELECT DISTINCT dataset, table_name, slug FROM expected)
 SELECT i.dataset, i.table_name, coalesce(a.name, e.name) AS column_name, a.kind AS actual_type,
   e.kind AS expected_type, e.description, CAST(NULL AS VARCHAR) AS "references",
   CASE WHEN a.name IS NULL THEN 'MISSING_IN_SOURCE' WHEN e.name IS NULL THEN 'UNDOCUMENTED' ELSE 'DOCUMENTED' END
     AS status,
-  i.slug AS dictionary_slug
+  i.slug AS dictionary_slug, a.n AS held_rows
 FROM expected e FULL JOIN actual a ON e.dataset = a.dataset AND lower(e.name) = lower(a.name)
 JOIN identity i ON i.dataset = coalesce(e.dataset, a.dataset)"""
 
@@ -387,9 +379,9 @@ SELECT vendor AS vendor_id, passengers AS passenger_count, amount AS total_amoun
         # Every service has a file for every month, if only one without rows.
         "landing_integrity": rides
         + """SELECT s.service, m.month AS reference_month, 'INTACT' AS status, count(trip_id) AS trip_rows
-FROM (VALUES ('yellow'), ('green'), ('fhv')) s(service)
+FROM (VALUES ('yellow'), ('green'), ('fhv'), ('fhvhv')) s(service)
 CROSS JOIN (VALUES ('2023-12'), ('2024-01'), ('2024-02')) m(month)
-LEFT JOIN trips ON trips.service = s.service AND trips.month = m.month GROUP BY ALL""",
+LEFT JOIN trips ON trips.service = CASE s.service WHEN 'fhvhv' THEN 'fhv' ELSE s.service END AND trips.month = m.month GROUP BY ALL""",
         "landing_gaps": """
 WITH present AS (
   SELECT DISTINCT CASE o_orderpriority WHEN '1-URGENT' THEN 'yellow' WHEN '2-HIGH' THEN 'green'
@@ -417,7 +409,10 @@ FROM trips WHERE service = 'yellow'""",
   CASE WHEN service = 'yellow' AND month = '2024-02' THEN {_RESCUED}
        WHEN service = 'green' AND month = '2023-12' THEN CAST(json_object('ehail_fee', user_id) AS VARCHAR)
   END AS _rescued_data,
-  service AS _service_type, month AS _reference_month FROM trips""",
+  service AS _service_type, month AS _reference_month FROM trips
+UNION ALL
+SELECT NULL, pickup, dropoff, NULL, amount, CASE WHEN month = '2023-12' THEN CAST(json_object('base_note', props) AS VARCHAR) END,
+  'fhvhv', month FROM trips WHERE service = 'fhv'""",
         "rescued_map": """
 SELECT event_id, json_extract_string(props, '$.k') AS rescued_text,
   CAST(json_extract_string(props, '$.k') AS BIGINT) AS rescued_long,

@@ -156,15 +156,17 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "yellow": ("VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "total_amount"),
         "green": ("VendorID", "lpep_pickup_datetime", "lpep_dropoff_datetime", "passenger_count", "total_amount"),
         "fhv": ("SR_Flag", "pickup_datetime", "dropOff_datetime", None, None),
+        "fhvhv": (None, "pickup_datetime", "dropoff_datetime", None, "driver_pay"),
     }
     names = ("vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "total_amount")
+    kinds = ("long", "timestamp", "timestamp", "double", "double")
     tables = ingest_services(spark, lake, [base_contract(service) for service in shapes])
     frames = []
     for service, sources in shapes.items():
         stored = spark.table(tables[service])
         values = [
-            (F.col(source) if source else F.lit(None).cast("double")).alias(name)
-            for source, name in zip(sources, names, strict=True)
+            (F.col(source) if source else F.lit(None).cast(kind)).alias(name)
+            for source, name, kind in zip(sources, names, kinds, strict=True)
         ]
         frames.append(stored.select(*values, "_rescued_data", "_service_type", "_reference_month"))
     return union_all(frames)
@@ -306,10 +308,10 @@ def contract_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contract_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    footers = landing.read_footers(landing.list_files(spark, staged_landing(spark, sf_dir)))
+    """Contracts against the values that the rows of every service hold."""
     contracts: list[Contract] = [c for c in base_contracts().values() if c.dictionary_slug]
-    actual = field_coverage.physical_fields(footers)
-    return field_coverage.contract_coverage(contract_fields(spark, contracts), actual).drop("dictionary_url")
+    held = union_all([field_coverage.held_fields(_bronze(spark, sf_dir, c.dataset), c.dataset) for c in contracts])
+    return field_coverage.contract_coverage(contract_fields(spark, contracts), held).drop("dictionary_url")
 
 
 # ---------------------------------------------------------------- gold

@@ -2,7 +2,7 @@
 
 The trip files themselves are not part of this repository. These deterministic mappings
 give every operator whole tables to work on, with the nulls, zeros, negatives and late
-files that real months contain: ``events`` become trips of three services, ``lineitem``
+files that real months contain: ``events`` become trips of four services, ``lineitem``
 joined to ``orders`` becomes yellow trips over eighty months.
 """
 
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from meterlake.contracts import Contract
 
 SERVICE_EVENTS = {"yellow": ("click", "view", "error"), "green": ("purchase",), "fhv": ("signup",)}
+#: Trips of dispatch platforms are those of the other for-hire service once more, in files of their own shape.
+FILED_EVENTS = {**SERVICE_EVENTS, "fhvhv": ("signup",)}
 REFERENCE_MONTHS = ("2023-12", "2024-01", "2024-02")
 
 
@@ -66,6 +68,16 @@ def _trip_values(dataset: str) -> dict[str, str]:
             "PUlocationID": "user_id",
             "SR_Flag": "vendor_id",
         }
+    if dataset == "fhvhv":
+        return {
+            "hvfhs_license_num": "concat('HV', user_id % 4)",
+            "request_datetime": "pickup_datetime - INTERVAL '5' MINUTE",
+            "pickup_datetime": "pickup_datetime",
+            "dropoff_datetime": "dropoff_datetime",
+            "PULocationID": "user_id",
+            "trip_time": "duration_seconds",
+            "driver_pay": "total_amount",
+        }
     prefix = {"yellow": "tpep", "green": "lpep"}[dataset]
     return {
         "VendorID": "vendor_id",
@@ -80,7 +92,7 @@ def _trip_values(dataset: str) -> dict[str, str]:
 
 def service_trips(trips: DataFrame, dataset: str) -> DataFrame:
     """Trips of one service; the filter is on the scanned column, so it is pushed down."""
-    return trips.filter(F.col("event_type").isin(*SERVICE_EVENTS[dataset]))
+    return trips.filter(F.col("event_type").isin(*FILED_EVENTS[dataset]))
 
 
 def bronze_trips(trips: DataFrame, contract: Contract) -> DataFrame:
@@ -127,7 +139,7 @@ def shipment_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drifted_files(trips: DataFrame) -> dict[tuple[str, str], DataFrame]:
     """Physical frames per service and month, with the type and name drift of real files."""
     files: dict[tuple[str, str], DataFrame] = {}
-    for service in SERVICE_EVENTS:
+    for service in FILED_EVENTS:
         for month in REFERENCE_MONTHS:
             month_trips = service_trips(trips, service).filter(F.col("reference_month") == month)
             files[service, month] = month_trips.selectExpr(
@@ -158,6 +170,7 @@ def _physical(service: str, month: str) -> dict[str, str]:
         },
         ("green", "2023-12"): {"passenger_count": "CAST(passenger_count AS STRING)", "ehail_fee": "user_id"},
         ("fhv", "2024-02"): {"SR_Flag": "CAST(vendor_id AS INT)"},
+        ("fhvhv", "2023-12"): {"driver_pay": "CAST(total_amount AS STRING)", "base_note": "rescued_data"},
     }
     return {**columns, **drift.get((service, month), {})}
 
@@ -173,7 +186,7 @@ def stage_landing(trips: DataFrame, root: str) -> str:
             .parquet(f"{root}/{service}/{month[:4]}/{month[5:]}")
         )
 
-    # Nine small independent jobs; submitting them together keeps the executors busy.
+    # Small independent jobs; submitting them together keeps the executors busy.
     with ThreadPoolExecutor(len(REFERENCE_MONTHS)) as pool:
         list(pool.map(write, drifted_files(trips).items()))
     return root

@@ -118,3 +118,16 @@ def test_coverage_statuses(spark):
         "surprise": "UNDOCUMENTED",
     }
     assert rows["surprise"]["dictionary_slug"] == "yellow" and rows["surprise"]["expected_type"] is None
+
+
+def test_held_fields_follow_the_rows(spark):
+    schema = "VendorID long, fee double, note string, _rescued_data string"
+    rows = [(1, None, None, '{"k": 1, "Note": "x", "f": 1.5}'), (2, None, None, '{"k": "a", "f": 2, "gone": null}'), (None, None, None, "no json"), (3, None, "n", "[1]")]
+
+    def held(some):
+        found = coverage.held_fields(spark.createDataFrame(some, schema), "yellow").collect()
+        return {r["column_name"]: (r["actual_type"], r["held_rows"]) for r in found}
+
+    assert held(rows) == {"VendorID": ("long", 3), "note": ("string", 2), "k": ("long|string", 2), "f": ("double|long", 2)}
+    assert held([*rows, (None, 0.5, None, None)])["fee"] == ("double", 1)
+    assert held(rows[2:3]) == {} and held([]) == {}
