@@ -39,12 +39,13 @@ _WITHIN = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td"
 _MARKS = (
     r"ads?|advert(?:s|isements?|ising)?|adsense|banner|sponsor(?:ed|s)?|promo(?:tion|s)?|cookies?|consent|gdpr|notices?|popup|modal|overlay|"
     r"nav(?:bar|igation)?|menus?|breadcrumbs?|pagination|pager|sidebars?|side|aside|widgets?|footer|foot|masthead|topbar|header|"
-    r"comments?|replies|respond|disqus|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|signup|login|search|toolbar|skip|hidden|copyright"
+    r"comments?|replies|responses?|respond|talkback|discussion|feedback|disqus|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|signup|login|search|toolbar|skip|hidden|copyright"
 )
 _PLAIN = r"site|page|main|top|bottom|left|right|global|primary|secondary|post|article|body|list|items?|box|block|area|section|panel|bar|links?|icons?|buttons?|form|group|inner|reader|user|[0-9]+"
 _NAMES = re.compile(rf"(?:(?:{_PLAIN})[_-]+)*(?:{_MARKS})(?:[_-]+(?:{_MARKS}|{_PLAIN}))*", re.IGNORECASE)
 _TOKENS = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|template|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/])(?:[^>\"'/]++|\"[^\"]*+\"|'[^']*+'|/(?!>))*+/>"
+    r"|<(script|style|textarea|title|noscript|template|iframe|svg)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
@@ -238,7 +239,10 @@ def main_text(page: str | None) -> str:
         around = around.parent
     if around is None:
         most = max((n for n in _ordered(best) if id(n) in units), key=lambda n: n.chars - n.link_chars, default=None)
-        if most is not None and 2 * (most.chars - most.link_chars) > best.chars - best.link_chars:
+        # The page's one article, and beside it what is denser. What comes after an article answers it; ``nodes`` has later siblings first.
+        if most is None and len(anchors) == 1 and nodes.index(anchors[0]) > nodes.index(best):
+            around = best = anchors[0]
+        elif most is not None and 2 * (most.chars - most.link_chars) > best.chars - best.link_chars:
             around = best = most
     threshold, node, path = best.density, best, set()
     while node is not None:

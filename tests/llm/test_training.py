@@ -422,3 +422,31 @@ def test_slices_keep_rows_and_nulls():
     assert [x for c in cut for x in c.column(0).to_pylist()] == [0, 1, 2, 3, 4, 5, 2, 3, 4]
     data, bounds = binary_parts(batch.slice(2, 3).column(1))
     assert data.tobytes() == b"c" * 50 + b"d" and bounds.tolist() == [0, 0, 50, 51]
+
+
+TALE = "<article><p>" + " ".join(f"story{i}" for i in range(15)) + "</p></article>"
+
+
+@pytest.mark.parametrize("before", ["<svg-icon>", "<template-card>x</template-card>", "<style-guide>", "<svg/>", '<svg class="a" />', "<svg width='1'><path d='M0'/></svg>"])
+def test_names_that_begin_like_raw_elements_swallow_nothing(before):
+    found = html_text.main_text(f"<html><body>{before}{TALE}</body></html>")
+    assert "story0" in found and "story14" in found
+
+
+@pytest.mark.parametrize("kind", ['section class="reader-responses"', 'div class="talkback"', 'section class="after"'])
+def test_the_story_wins_over_what_readers_say(kind):
+    said = "".join(f"<p>{' '.join(f'reader{i}{j}' for j in range(10))}</p>" for i in range(6))
+    page = f"<html><body>{TALE}<{kind}>{said}</{kind.split()[0]}></body></html>"
+    assert html_text.main_text(page) == " ".join(f"story{i}" for i in range(15))
+
+
+def test_a_story_wins_over_cards():
+    story = " ".join(f"word{i}" for i in range(80))
+    cards = "".join(f"<article><p>teaser {i}</p></article>" for i in range(4))
+    assert html_text.main_text(f'<body><div class="content"><p>{story}</p></div><div>{cards}</div></body>') == story
+
+
+def test_a_story_before_marked_replies():
+    said = " ".join(f"reader{i}" for i in range(60))
+    page = f'<body><div class="story"><p>{" ".join(f"story{i}" for i in range(15))}</p></div><div class="talkback"><p>{said}</p></div></body>'
+    assert html_text.main_text(page).startswith("story0") and "reader" not in html_text.main_text(page)
