@@ -189,8 +189,12 @@ def _ordered(root: _Element) -> list[_Element]:
     return out
 
 
+#: A left-out element with most of a page's text is the page only if nearly nothing remains beside it.
+STORY_SHARE = 10
+
+
 def _kept_again(root: _Element) -> None:
-    """Nothing left out stays so that holds the only articles, or without any the most of the text outside links."""
+    """Nothing left out stays so that holds the only articles, or without any the most of the text outside links and little beside."""
     every, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -207,8 +211,10 @@ def _kept_again(root: _Element) -> None:
     if any(n.name in ("article", "main") and plain[id(n)] and not out[id(n)] for n in every):
         return
     anchored = holds[id(root)]
+    remains = sum(n.chars - n.link_chars for n in every if not out[id(n)])
     for node in every:
-        if node.left_out and (holds[id(node)] if anchored else 2 * plain[id(node)] > plain[id(root)]):
+        most = 2 * plain[id(node)] > plain[id(root)] and remains * STORY_SHARE < plain[id(node)]
+        if node.left_out and (holds[id(node)] if anchored else most):
             node.left_out = False
 
 
