@@ -49,6 +49,8 @@ END_ID = 0
 KEYS_PER_INDEX = 1 << 18
 CACHE_ENTRIES = 300_000
 READ_BYTES = 4 << 20
+PARTS_TOGETHER = 2_000
+SPACE_MARK = "\u0120"  # a space at the start of a token, as byte-level vocabularies write it
 _MAGIC = b"IDSMPH1\0"
 _SPARSE = 2  # places per key on each level
 _MOST_LEVELS = 64
@@ -69,6 +71,8 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache = PartCache(self._parts, CACHE_ENTRIES)
+        self.begins = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids whose token starts with a space
+        self.begins[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(SPACE_MARK)]] = True
         self.odd = re.compile(r"\s ").search
         self.cut = re.compile(r"(?<=\S) ").split
 
@@ -77,7 +81,22 @@ class Encoder:
             yield np.array(found.ids, self.kind).tobytes()
 
     def _parts(self, parts: list[str]) -> Iterator[bytes]:
-        return self._ids([" " + part for part in parts])
+        """The ids of a space and each part.
+
+        Parts without a space, that no white space ends, are encoded many at a time: there a token that starts with a space starts a part.
+        """
+        plain = [part for part in parts if part and " " not in part and not part[-1].isspace()]
+        known: dict[str, bytes] = {}
+        for start in range(0, len(plain), PARTS_TOGETHER):
+            some = plain[start : start + PARTS_TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, np.int64)
+            begins = np.flatnonzero(self.begins[ids]) * self.kind.itemsize
+            if len(begins) != len(some):
+                raise ValueError("the tokenizer joins words across spaces")
+            data, bounds = ids.astype(self.kind).tobytes(), [*begins.tolist(), len(ids) * self.kind.itemsize]
+            known.update((part, data[a:b]) for part, a, b in zip(some, bounds, bounds[1:], strict=False))
+        for part in parts:
+            yield known[part] if part in known else next(self._ids([" " + part]))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         plans = [self.cut(text) if self.odd(text) else text.split(" ") for text in texts]
