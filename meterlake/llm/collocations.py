@@ -20,6 +20,7 @@ has no phrases; doc_id and further columns are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ TOP = 2000
 INSIDE_PERCENT = 80
 #: Frequent groups that may be sent to every task (about 24 bytes each, a word's length more for single words).
 SMALL_GROUPS = 400_000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 HELD_PAIRS = 400_000
 
 #: What a byte is: 0 part of a word, 1 white space, 2 the end of a piece.
@@ -77,6 +78,34 @@ def _occurrences(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, int
     return np.insert(codes, ended, -1), coded.dictionary, np.bincount(codes, minlength=len(coded.dictionary)), len(codes)
 
 
+#: Runs handed to a task at a time; each is a slice of text.
+RUNS_PER_BATCH = 4
+TEXTS_PER_BATCH = 256
+
+
+#: How many rows are decoded from Parquet at once, and travel to Python at once.
+_BATCH_SETTINGS = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most so many rows are held together, for what runs inside the block."""
+    before = [spark.conf.get(key) for key in _BATCH_SETTINGS]
+    for key in _BATCH_SETTINGS:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        for key, value in zip(_BATCH_SETTINGS, before, strict=True):
+            spark.conf.set(key, value)
+
+
+def stored_runs(spark: SparkSession, frame: DataFrame, purpose: str, rows: int = RUNS_PER_BATCH) -> DataFrame:
+    """``frame``, made from a relation and written to the shared folder; the rows of a relation are large."""
+    with small_batches(spark, rows):
+        return stored(spark, frame, purpose)
+
+
 WORD_RUNS = "run long, lang string, codes array<int>, words array<string>, counts array<int>, n long"
 
 
@@ -194,7 +223,7 @@ def frequent_words(spark: SparkSession, words: DataFrame, least: int) -> DataFra
     """id, lang, word and f of each frequent word."""
     each = words.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
     counted = each.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f"))
-    return stored(spark, numbered(counted.where(F.col("f") >= least), 1), "setm-words")
+    return stored_runs(spark, numbered(counted.where(F.col("f") >= least), 1), "setm-words")
 
 
 def word_relation(spark: SparkSession, words: DataFrame, frequent: DataFrame, small: int) -> DataFrame:
@@ -215,7 +244,7 @@ def word_relation(spark: SparkSession, words: DataFrame, frequent: DataFrame, sm
 
             return _mapped(new_ids)(batches)
 
-        return stored(spark, words.select("run", "lang", "codes", "words").mapInArrow(lookup, RUNS), "setm-1")
+        return stored_runs(spark, words.select("run", "lang", "codes", "words").mapInArrow(lookup, RUNS), "setm-1")
 
     each = words.select("run", "lang", F.posexplode("words").alias("code", "word"))
     known = each.join(frequent.select("lang", "word", "id"), ["lang", "word"]).groupBy("run")
@@ -231,7 +260,7 @@ def word_relation(spark: SparkSession, words: DataFrame, frequent: DataFrame, sm
 
         return _mapped(new_ids)(batches)
 
-    return stored(spark, joined.mapInArrow(renumber, RUNS), "setm-1")
+    return stored_runs(spark, joined.mapInArrow(renumber, RUNS), "setm-1")
 
 
 def _summed(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -268,7 +297,7 @@ def pair_counts(relation: DataFrame, by_run: bool = False) -> DataFrame:
 def frequent_pairs(spark: SparkSession, relation: DataFrame, length: int, least: int) -> DataFrame:
     """id, a, b and f of each frequent phrase of ``length`` words; a and b are the phrases without its last, its first word."""
     counted = pair_counts(relation).groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return stored(spark, numbered(counted, length), f"setm-groups-{length}")
+    return stored_runs(spark, numbered(counted, length), f"setm-groups-{length}")
 
 
 def next_relation(spark: SparkSession, relation: DataFrame, groups: DataFrame, length: int, small: int) -> DataFrame:
@@ -281,7 +310,7 @@ def next_relation(spark: SparkSession, relation: DataFrame, groups: DataFrame, l
             known = Groups(*sent.value)
             return _mapped(lambda batch: (_extended(ids, known) for ids in _arrays(batch.column(1))))(batches)
 
-        return stored(spark, relation.mapInArrow(lookup, RUNS), f"setm-{length}")
+        return stored_runs(spark, relation.mapInArrow(lookup, RUNS), f"setm-{length}")
 
     known = pair_counts(relation, by_run=True).join(groups.select("a", "b", "id"), ["a", "b"]).groupBy("run")
     found = known.agg(F.collect_list(F.struct("a", "b", "id")).alias("found"))
@@ -294,7 +323,7 @@ def next_relation(spark: SparkSession, relation: DataFrame, groups: DataFrame, l
 
         return _mapped(new_ids)(batches)
 
-    return stored(spark, joined.mapInArrow(renumber, RUNS), f"setm-{length}")
+    return stored_runs(spark, joined.mapInArrow(renumber, RUNS), f"setm-{length}")
 
 
 def _described(groups: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -315,7 +344,7 @@ def _described(groups: DataFrame, shorter: DataFrame) -> DataFrame:
 
 def phrases(spark: SparkSession, docs: DataFrame, least: int = LEAST, small: int = SMALL_GROUPS) -> tuple[DataFrame, DataFrame]:
     """All frequent phrases of two words and more with counts of their parts, and lang and n."""
-    words = stored(spark, word_runs(docs), "setm-occurrences")
+    words = stored_runs(spark, word_runs(docs), "setm-occurrences", TEXTS_PER_BATCH)
     frequent = frequent_words(spark, words, least)
     relation = word_relation(spark, words, frequent, small)
     known = frequent.select(
