@@ -214,21 +214,30 @@ def _mapped(new_ids: Callable[[pa.RecordBatch], Iterator[np.ndarray]]) -> Callab
 RUNS = "run long, ids array<long>"
 
 
-def numbered(groups: DataFrame, length: int) -> DataFrame:
-    """Groups with a number of their own among phrases of all lengths."""
-    return groups.withColumn("id", F.monotonically_increasing_id() * LONGEST + (length - 1))
+def numbered(spark: SparkSession, counted: DataFrame, length: int, small: int) -> tuple[DataFrame, int]:
+    """Groups with a number of their own among phrases of all lengths, and how many there are.
+
+    Few groups are numbered by descending count, so that the numbers in most pairs are short.
+    """
+    counted = stored_runs(spark, counted, f"setm-counted-{length}")
+    count = counted.count()
+    if count <= small:
+        place = F.row_number().over(Window.orderBy(F.desc("f"), *[c for c in counted.columns if c != "f"])).cast("long")
+    else:
+        place = F.monotonically_increasing_id()
+    return stored(spark, counted.withColumn("id", place * LONGEST + (length - 1)), f"setm-groups-{length}"), count
 
 
-def frequent_words(spark: SparkSession, words: DataFrame, least: int) -> DataFrame:
-    """id, lang, word and f of each frequent word."""
+def frequent_words(spark: SparkSession, words: DataFrame, least: int, small: int) -> tuple[DataFrame, int]:
+    """lang, word, f and id of each frequent word, and their number."""
     each = words.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
     counted = each.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f"))
-    return stored_runs(spark, numbered(counted.where(F.col("f") >= least), 1), "setm-words")
+    return numbered(spark, counted.where(F.col("f") >= least), 1, small)
 
 
-def word_relation(spark: SparkSession, words: DataFrame, frequent: DataFrame, small: int) -> DataFrame:
+def word_relation(spark: SparkSession, words: DataFrame, frequent: DataFrame, few: bool) -> DataFrame:
     """The occurrences of frequent words."""
-    if frequent.count() <= small:
+    if few:
         sent = spark.sparkContext.broadcast(frequent.select("lang", "word", "id").toArrow().to_pydict())
 
         def lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,39 +279,56 @@ def _summed(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np
     return a[first], b[first], np.add.reduceat(n, first)
 
 
-def pair_counts(relation: DataFrame, by_run: bool = False) -> DataFrame:
-    """a, b and n of neighbours, summed within a task as far as memory allows; or run, a and b, once per run."""
+def pair_counts(relation: DataFrame) -> DataFrame:
+    """a, b and n of neighbours, summed within a task as far as memory allows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
-        names = ["run", "a", "b"] if by_run else ["a", "b", "n"]
         for batch in batches:
-            for run, ids in zip(batch.column(0).to_pylist(), _arrays(batch.column(1)), strict=True):
+            for ids in _arrays(batch.column(1)):
                 a, b, n, _, _ = _pairs(ids)
-                if by_run:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), run)), pa.array(a), pa.array(b)], names)
-                elif len(a):
+                if len(a):
                     held.append((a, b, n))
                     size += len(a)
                 if size > HELD_PAIRS:
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, _summed(*map(np.concatenate, zip(*held, strict=True))))], names)
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, _summed(*map(np.concatenate, zip(*held, strict=True))))], ["a", "b", "n"])
                     held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([*map(pa.array, _summed(*map(np.concatenate, zip(*held, strict=True))))], names)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, _summed(*map(np.concatenate, zip(*held, strict=True))))], ["a", "b", "n"])
+
+    return relation.mapInArrow(count, "a long, b long, n long")
+
+
+def pairs_by_run(relation: DataFrame) -> DataFrame:
+    """run, a and b of neighbours, once per run."""
 
-    return relation.mapInArrow(count, "run long, a long, b long" if by_run else "a long, b long, n long")
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for run, ids in zip(batch.column(0).to_pylist(), _arrays(batch.column(1)), strict=True):
+                a, b, *_ = _pairs(ids)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), run)), pa.array(a), pa.array(b)], ["run", "a", "b"])
 
+    return relation.mapInArrow(each, "run long, a long, b long")
 
-def frequent_pairs(spark: SparkSession, relation: DataFrame, length: int, least: int) -> DataFrame:
-    """id, a, b and f of each frequent phrase of ``length`` words; a and b are the phrases without its last, its first word."""
-    counted = pair_counts(relation).groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return stored_runs(spark, numbered(counted, length), f"setm-groups-{length}")
+
+def frequent_pairs(spark: SparkSession, relation: DataFrame, length: int, least: int, few: bool, small: int) -> tuple[DataFrame, int]:
+    """a, b, f and id of each frequent phrase of ``length`` words, and their number; a and b are the phrases without its last, its first word.
+
+    Where the shorter phrases have short numbers (``few``), a pair travels as one number.
+    """
+    counts = pair_counts(relation)
+    if few:
+        keyed = counts.select(F.shiftleft("a", 32).bitwiseOR(F.col("b")).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("f"))
+        counted = keyed.select(F.shiftright("key", 32).alias("a"), F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("b"), "f")
+    else:
+        counted = counts.groupBy("a", "b").agg(F.sum("n").alias("f"))
+    return numbered(spark, counted.where(F.col("f") >= least), length, small)
 
 
-def next_relation(spark: SparkSession, relation: DataFrame, groups: DataFrame, length: int, small: int) -> DataFrame:
+def next_relation(spark: SparkSession, relation: DataFrame, groups: DataFrame, length: int, few: bool) -> DataFrame:
     """The occurrences of the frequent phrases of ``length`` words."""
-    if groups.count() <= small:
+    if few:
         table = groups.select("a", "b", "id").toArrow()
         sent = spark.sparkContext.broadcast([table.column(i).to_numpy() for i in range(3)])
 
@@ -312,7 +338,7 @@ def next_relation(spark: SparkSession, relation: DataFrame, groups: DataFrame, l
 
         return stored_runs(spark, relation.mapInArrow(lookup, RUNS), f"setm-{length}")
 
-    known = pair_counts(relation, by_run=True).join(groups.select("a", "b", "id"), ["a", "b"]).groupBy("run")
+    known = pairs_by_run(relation).join(groups.select("a", "b", "id"), ["a", "b"]).groupBy("run")
     found = known.agg(F.collect_list(F.struct("a", "b", "id")).alias("found"))
     joined = relation.join(found, "run").select("run", "ids", "found.a", "found.b", "found.id")
 
@@ -345,17 +371,17 @@ def _described(groups: DataFrame, shorter: DataFrame) -> DataFrame:
 def phrases(spark: SparkSession, docs: DataFrame, least: int = LEAST, small: int = SMALL_GROUPS) -> tuple[DataFrame, DataFrame]:
     """All frequent phrases of two words and more with counts of their parts, and lang and n."""
     words = stored_runs(spark, word_runs(docs), "setm-occurrences", TEXTS_PER_BATCH)
-    frequent = frequent_words(spark, words, least)
-    relation = word_relation(spark, words, frequent, small)
+    frequent, count = frequent_words(spark, words, least, small)
+    relation = word_relation(spark, words, frequent, count <= small)
     known = frequent.select(
         "id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"),
         F.expr("CAST(array() AS array<bigint>)").alias("inside"),
     )
     found = []
     for length in range(2, LONGEST + 1):
-        groups = frequent_pairs(spark, relation, length, least)
+        groups, count = frequent_pairs(spark, relation, length, least, count <= small, small)
         if length < LONGEST:
-            relation = next_relation(spark, relation, groups, length, small)
+            relation = next_relation(spark, relation, groups, length, count <= small)
         known = stored(spark, _described(groups, known), f"setm-phrases-{length}")
         found.append(known)
     every = found[0]
