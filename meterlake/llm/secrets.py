@@ -1,7 +1,7 @@
 """Secret scans with an incremental ledger of blobs.
 
-A blob is a text, addressed by its SHA-256. The ledger keeps, per blob and version of the rules,
-what was found. A run scans a blob only if the ledger lacks that pair; then every path that ever held the blob
+A blob is a text, addressed by its SHA-256. The ledger keeps, per version of the rules (its partition) and blob,
+where something was found: kind, place and a digest, never the secret itself. A run scans a blob only if the ledger lacks that pair; then every path that ever held the blob
 gets the findings by a join. All of it is built-in functions.
 
 Defined results: a null text is the empty blob; rows repeated under one path give a row each; a null path is
@@ -39,12 +39,13 @@ ADDED_RULES = [
 
 
 def findings(blobs: DataFrame) -> DataFrame:
-    """blob and the spans (start, rank, end, kind, hit) found in its text, by start, then rule."""
+    """blob and the spans (start, rank, end, kind, digest of what was found) in its text, by start, then rule."""
     rules = [*BASE_RULES, *ADDED_RULES]
     out = blobs.select("blob", "text", *[found("text", regex, quick).alias(f"hits_{kind}") for kind, regex, _, quick in rules])
     out = out.select("blob", *[located("text", f"hits_{kind}", regex).alias(kind) for kind, regex, _, _ in rules])
     every = ", ".join(labelled(kind, i, kind, keep) for i, (kind, _, keep, _) in enumerate(rules))
-    return out.select("blob", F.expr(f"array_sort(concat({every}))").alias("spans"))
+    spans = f"array_sort(transform(concat({every}), s -> struct(s.start, s.rank, s.end, s.kind, sha2(s.hit, 256) AS digest)))"
+    return out.select("blob", F.expr(spans).alias("spans"))
 
 
 def scan(
@@ -54,16 +55,16 @@ def scan(
     texts = versions.select("path", whole_text().alias("text")).withColumn("blob", F.sha2("text", 256))
     paths = stored(spark, texts.select("path", "blob"), "blob-paths")
     wanted = paths.groupBy("blob").agg(F.min("path").alias("first_path"))
-    schema = "blob string, spans array<struct<start:bigint,rank:int,end:bigint,kind:string,hit:string>>, rules string"
+    schema = "blob string, spans array<struct<start:bigint,rank:int,end:bigint,kind:string,digest:string>>, rules string"
 
     def known() -> DataFrame:
         return spark.read.schema(schema).parquet(ledger).where(F.col("rules") == rules_version)
 
-    spark.createDataFrame([], schema).write.mode("append").parquet(ledger)
+    spark.createDataFrame([], schema).write.mode("append").partitionBy("rules").parquet(ledger)
     unseen = wanted.join(known().select("blob"), "blob", "left_anti").withColumnRenamed("blob", "new_blob")
     same = (F.col("blob") == F.col("new_blob")) & F.col("path").eqNullSafe(F.col("first_path"))
     fresh = findings(texts.join(unseen, same, "left_semi")).dropDuplicates(["blob"])
-    fresh.withColumn("rules", F.lit(rules_version)).write.mode("append").parquet(ledger)
+    fresh.withColumn("rules", F.lit(rules_version)).write.mode("append").partitionBy("rules").parquet(ledger)
     return paths.join(known().dropDuplicates(["blob"]).select("blob", "spans"), "blob")
 
 
