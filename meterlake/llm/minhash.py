@@ -2,7 +2,7 @@
 
 1. A map over the texts gives each row its number of shingles, a digest of its shingle set and its signature.
 2. Rows with the same set are one class, linked through its smallest id; everything below is about classes.
-3. Classes that share a band meet in blocks of at most ``2 * BLOCK`` rows, however large the bucket.
+3. Classes that share a band meet in blocks of about ``2 * BLOCK`` rows and ``2 * BLOCK_BYTES`` of text at most, however large the bucket.
    Inside a block, pairs that agree in enough minima are confirmed on the full sets, unless links found
    before already connect them. A block therefore hands on a spanning forest, not all its pairs.
 4. Components of those links.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.common import binary_parts, pieces, runs, shuffle_partitions, stored, whole_text
 from meterlake.llm.components import components
-from meterlake.llm.word_hashes import LOWER, hashes, mixed, words
+from meterlake.llm.word_hashes import LOWER, mixed, placed_hashes, words
 
 SHINGLE = 5
 #: A pair at similarity 0.85 shares none of 20 bands of 4 minima with probability 4e-7, at 0.8 with 2.6e-5.
@@ -35,7 +35,7 @@ ROWS, BANDS = 4, 20
 MINIMA = ROWS * BANDS
 #: A pair at the wanted similarity has fewer agreeing minima than are asked for with at most this probability.
 MISSED = 4e-7
-BLOCK = 256
+BLOCK, BLOCK_BYTES = 256, 32 << 20
 
 _RNG = np.random.default_rng(8)
 _A = _RNG.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -48,7 +48,7 @@ def shingle_sets(column: pa.Array) -> list[np.ndarray]:
     data, bounds = binary_parts(column)
     data = LOWER[data]
     starts, ends, first = words(data, bounds)
-    h = hashes(data, starts, ends)
+    h = placed_hashes(data, starts, ends)
     n = len(h)
     whole = np.zeros(max(0, n - SHINGLE + 1), np.uint64)
     for i, factor in enumerate(_PLACES):
@@ -84,13 +84,14 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                 pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array((np.diff(binary_parts(batch.column(1))[1]) >> 10).astype(np.int32) + 1),
             ],
-            names=["doc_id", "n_shingles", "digest", "signature"],
+            names=["doc_id", "n_shingles", "digest", "signature", "kib"],
         )
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node, band and bucket: a 64-bit hash of each band."""
+    """node, its text's size, band and bucket: a 64-bit hash of each band."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -104,8 +105,9 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(np.repeat(batch.column(0).to_numpy(), BANDS)),
                 pa.array(np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)),
                 pa.array(key.reshape(-1).view(np.int64)),
+                pa.array(np.repeat(batch.column(2).to_numpy(), BANDS)),
             ],
-            names=["node", "band", "bucket"],
+            names=["node", "band", "bucket", "kib"],
         )
 
 
@@ -187,17 +189,17 @@ def _block_links(percent: int):
 def near_groups(spark: SparkSession, docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    rows = texts.mapInArrow(_summaries, "doc_id long, n_shingles long, digest binary, signature binary")
+    rows = texts.mapInArrow(_summaries, "doc_id long, n_shingles long, digest binary, signature binary, kib int")
     rows = stored(spark, rows, "signatures")
 
     known = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = known.groupBy("digest", "n_shingles").agg(F.min(F.struct("doc_id", "signature")).alias("first"))
-    classes = stored(spark, classes.select("digest", "n_shingles", F.col("first.doc_id").alias("node"), F.col("first.signature").alias("signature")), "classes")
+    classes = known.groupBy("digest", "n_shingles").agg(F.min(F.struct("doc_id", "signature", "kib")).alias("first"))
+    classes = stored(spark, classes.select("digest", "n_shingles", F.col("first.doc_id").alias("node"), F.col("first.signature").alias("signature"), F.col("first.kib").alias("kib")), "classes")
 
-    banded = classes.select("node", "signature").mapInArrow(_bands, "node long, band int, bucket long")
-    buckets = banded.groupBy("band", "bucket").agg(F.count("*").alias("rows")).where("rows > 1")
-    met = banded.join(buckets, ["band", "bucket"])
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
+    banded = classes.select("node", "signature", "kib").mapInArrow(_bands, "node long, band int, bucket long, kib int")
+    buckets = banded.groupBy("band", "bucket").agg(F.count("*").alias("rows"), F.sum("kib").alias("total")).where("rows > 1")
+    met = banded.drop("kib").join(buckets, ["band", "bucket"])
+    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK, F.col("total") * 1024 / BLOCK_BYTES)).cast("int")
     met = met.withColumn("blocks", blocks).withColumn("part", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = met.select("node", "band", "bucket", "part", other.alias("other"))
