@@ -12,9 +12,11 @@
    of an audited vector's links than wanted was known, in the mean of either sample, the graph is refined with new
    hyperplanes; if that does not do, all vectors are compared in blocks. What the audit found is added.
 
-Defined results: vectors that are null, of another length than most, zero, or with null or non-finite components are linked with
-nothing and stay; a null vec_id is linked with nothing and stays; rows repeated under one id are one vector if they
-agree (each row lists its links) and are linked through the id if not; an empty table gives no rows.
+Vectors are compared with those of their own length: the length is part of every bucket and block, so any mixture takes one pass.
+
+Defined results: vectors that are null, zero, or with null or non-finite components are linked with nothing and stay; a null
+vec_id is linked with nothing and stays; rows repeated under one id are one vector if they agree (each row lists its links,
+itself not counted) and are linked through the id if not; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -64,6 +66,14 @@ def _matrix(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
     return data.view(kind).reshape(len(column), -1)
 
 
+def _by_length(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, those with vectors of one length at a time."""
+    if batch.num_rows:
+        sizes = np.diff(binary_parts(batch.column(column))[1])
+        for size in np.unique(sizes).tolist():
+            yield batch.filter(pa.array(sizes == size))
+
+
 def _edges(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     if rows:
         a, b, s = (np.concatenate(c) for c in zip(*rows, strict=True))
@@ -72,14 +82,12 @@ def _edges(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa
 
 def _codes(seed: int, tables: int, bits: int):
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each vector once per table, with its signs on the table's hyperplanes."""
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        """Each vector once per table, with its length and its signs on the table's hyperplanes."""
+        for batch in (part for whole in batches for part in _by_length(whole, 1)):
             x = _matrix(batch.column(1), np.float16).astype(np.float32)
             planes = np.random.default_rng(seed).normal(size=(x.shape[1], tables * bits)).astype(np.float32)
             signs = (x @ planes > 0).reshape(len(x), tables, bits)
-            code = (signs * (1 << np.arange(bits, dtype=np.int64))).sum(2)
+            code = (signs * (1 << np.arange(bits, dtype=np.int64))).sum(2) + (x.shape[1] << bits)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(batch.column(0).to_numpy(), tables)),
@@ -161,8 +169,8 @@ def _nearest(keys: list[str], most: int, threshold: float):
 
 def _count(threshold: float):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Links of each vector within a block, in rows of the table, and one link per vector for the components."""
-        for group in runs(batches, ["component", "i", "j"]):
+        """Links of each vector within a block, in ids, and one link per vector for the components."""
+        for group in runs(batches, ["component", "i", "j", "length"]):
             i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
             part = group.column("part").to_numpy()
             nodes, copies = group.column("node").to_numpy(), group.column("copies").to_numpy()
@@ -229,8 +237,8 @@ def _first_graph(spark: SparkSession, vectors: DataFrame, count: int, threshold:
 
 def _compared(spark: SparkSession, vectors: DataFrame, count: int, threshold: float) -> DataFrame:
     """Edges that connect what the links of all vectors connect, from comparing all with all."""
-    keys = ["i", "j"]
-    met = _paired(vectors.select("node", "half", F.lit(count).alias("rows")), WHOLE_BLOCK)
+    keys = ["i", "j", "length"]
+    met = _paired(vectors.select("node", "half", F.octet_length("half").alias("length"), F.lit(count).alias("rows")), WHOLE_BLOCK)
     met = met.repartition(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys, "node")
     return met.mapInArrow(_nearest(keys, LIST // 2, threshold), "a long, b long, sim float")
 
@@ -242,8 +250,8 @@ def _confirmed(vectors: DataFrame, edges: DataFrame, threshold: float) -> DataFr
     right = vectors.select(F.col("node").alias("b"), F.col("vector").alias("vb"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in _by_length(whole, 2):
                 same = (_matrix(batch.column(2), np.float64) * _matrix(batch.column(3), np.float64)).sum(1)
                 yield batch.select(["a", "b"]).filter(pa.array(same >= threshold))
 
@@ -260,14 +268,17 @@ def _audited(spark: SparkSession, vectors: DataFrame, groups: DataFrame) -> Data
 def _audit(spark: SparkSession, vectors: DataFrame, audited: DataFrame, threshold: float) -> DataFrame:
     """All links (a, b) of the audited vectors."""
     sample = audited.select("node", "vector").dropDuplicates(["node"]).collect()
-    held = spark.sparkContext.broadcast((np.array([r["node"] for r in sample]), np.array([np.frombuffer(r["vector"]) for r in sample])))
+    by_length: dict[int, list] = {}
+    for r in sample:
+        by_length.setdefault(len(r["vector"]), []).append((r["node"], np.frombuffer(r["vector"])))
+    held = spark.sparkContext.broadcast({n: (np.array([i for i, _ in rows]), np.array([v for _, v in rows])) for n, rows in by_length.items()})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, x = held.value
-        for batch in batches:
-            if batch.num_rows and len(ids):
-                nodes = batch.column(0).to_numpy()
-                at = np.nonzero((_matrix(batch.column(1), np.float64) @ x.T >= threshold) & (nodes[:, None] != ids[None, :]))
+        for batch in (part for whole in batches for part in _by_length(whole, 1)):
+            nodes, vectors = batch.column(0).to_numpy(), _matrix(batch.column(1), np.float64)
+            ids, x = held.value.get(8 * vectors.shape[1], ((), None))
+            if len(ids):
+                at = np.nonzero((vectors @ x.T >= threshold) & (nodes[:, None] != ids[None, :]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at[1]]), pa.array(nodes[at[0]])], names=["a", "b"])
 
     return vectors.select("node", "vector").mapInArrow(compare, "a long, b long")
@@ -287,9 +298,7 @@ def linked_vectors(spark: SparkSession, embeddings: DataFrame, threshold: float
     """vec_id, n_links, component_id, kept and audit_recall (see ``_recall``; before what the audit added)."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = stored(spark, rows.mapInArrow(_unit, "vec_id long, vector binary, half binary"), "unit-vectors")
-    lengths = rows.where("vector IS NOT NULL").groupBy(F.octet_length("vector").alias("length")).agg(F.count("*").alias("n"))
-    usual = lengths.orderBy(F.col("n").desc(), "length").first()
-    usable = rows.where(F.col("vec_id").isNotNull() & (F.octet_length("vector") == (usual["length"] if usual else -1)))
+    usable = rows.where("vec_id IS NOT NULL AND vector IS NOT NULL").dropDuplicates(["vec_id", "vector"])
     classes = usable.groupBy("vector", "half").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"))
     classes = stored(spark, classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     count = classes.count()
@@ -333,8 +342,8 @@ def linked_vectors(spark: SparkSession, embeddings: DataFrame, threshold: float
 
     sized = groups.groupBy("component").agg(F.count("*").alias("rows"))
     met = _paired(groups.join(sized, "component"), BLOCK)
-    keys = ["component", "i", "j"]
-    met = met.join(classes.select("node", "copies", "vector"), "node").repartition(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys, "node")
+    keys = ["component", "i", "j", "length"]
+    met = met.join(classes.select("node", "copies", "vector", F.octet_length("vector").alias("length")), "node").repartition(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys, "node")
     # A component of several blocks holds the pairs within a block once, under i = j.
     counted = met.mapInArrow(_count(threshold), "node long, links long, other long")
     counted = counted.groupBy("node").agg(F.sum("links").alias("links"))
