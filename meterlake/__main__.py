@@ -29,6 +29,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--rules", help="rules file, JSON or YAML")
     parser.add_argument("--layers", default=",".join(LAYERS))
     parser.add_argument("--gate-on-fail", choices=("true", "false"), default="false")
+    parser.add_argument("--recount", choices=("true", "false"), default="false")
     return parser.parse_args(argv)
 
 
@@ -78,7 +79,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "quality-setup":
         quality_store.synchronise(spark, config.lake, config.rule_document)
     else:
-        job.evaluate_quality(spark, config, args.layers, args.gate_on_fail == "true")
+        job.evaluate_quality(spark, config, args.layers, args.gate_on_fail == "true", recount=args.recount == "true")
 
 
 if __name__ == "__main__":

@@ -134,7 +134,7 @@ def evaluate(layers: list[Layer], rules: list[dict], run: Run) -> DataFrame:
     ]
     if not counted:
         return layers[0].frame.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    return _with_status(union_all(counted), run)
+    return with_status(union_all(counted), run)
 
 
 def _count_violations(layer: Layer, rules: list[dict]) -> DataFrame:
@@ -154,7 +154,9 @@ def _count_violations(layer: Layer, rules: list[dict]) -> DataFrame:
     )
 
 
-def _with_status(counted: DataFrame, run: Run) -> DataFrame:
+def with_status(counted: DataFrame, run: Run) -> DataFrame:
+    """Results from rows of layer, table, rule, counts, limit and severity."""
+
     def day(value: date | None) -> str:
         return f"DATE'{value.isoformat()}'" if value else "CAST(NULL AS DATE)"
 

@@ -23,10 +23,10 @@ from meterlake.contracts import (
     read_contracts,
     union_all,
 )
-from meterlake.functions.months import window_dates
+from meterlake.functions.months import month_sequence, window_dates
 from meterlake.operators import coverage, dictionary, gold, quality, rules
 from meterlake.operators.silver import silver_trips
-from meterlake.plans import quality_store
+from meterlake.plans import quality_state, quality_store
 from meterlake.plans.refresh import refresh_months
 from meterlake.sources import landing, manifest, metadata
 from meterlake.sources.tables import Lake, TableSpec, ensure_table, path_exists, publish
@@ -344,37 +344,59 @@ def evaluate_quality(
     layers: str = ",".join(rules.LAYERS),
     gate: bool = False,
     run: quality.Run | None = None,
+    recount: bool = False,
 ) -> DataFrame:
-    """Evaluate the active rules, store the results, and only then let the gate speak."""
+    """Evaluate the active rules, store the results, and only then let the gate speak.
+
+    Months whose files and rules were counted before are not scanned again, unless ``recount`` asks for it.
+    """
     names = quality.parse_layers(layers)
     lake = config.lake
     run = run or new_run(config)
     active = quality.load_rules(rules.active_rules(quality_store.current_catalog(spark, lake)))
-    chosen = [_layer(spark, config, name) for name in rules.LAYERS if name in names]
-    stored = quality_store.record(spark, lake, quality.evaluate(chosen, active, run), run)
+    chosen = [quality_layer(spark, config, name) for name in rules.LAYERS if name in names]
+    if recount:
+        months = month_sequence(config.start_month, config.end_month)
+        whole = [quality.Layer(layer.name, layer.table_name, layer.rows(months)) for layer in chosen]
+        results = quality.evaluate(whole, active, run)
+    else:
+        results, _ = quality_state.evaluate_months(spark, lake, chosen, active, run)
+    stored = quality_store.record(spark, lake, results, run)
     if gate:
         quality.enforce_gate(stored)
     return stored
 
 
-def _layer(spark: SparkSession, config: JobConfig, name: str) -> quality.Layer:
+def quality_layer(spark: SparkSession, config: JobConfig, name: str) -> quality_state.MonthlyLayer:
+    """One of the layers of yellow trips within the window, by months."""
     lake, yellow = config.lake, config.contracts["yellow"]
-    in_window = F.col(MONTH).between(config.start_month, config.end_month)
+    window = month_sequence(config.start_month, config.end_month)
     if name == "landing":
-        frame = landing.landing_canonical(
-            spark, lake.landing_path, "yellow", config.start_month, config.end_month, quality.landing_projection,
-            _landing_files(spark, config, "yellow"),
-        )
-        return quality.Layer(name, f"{lake.landing_path}/yellow", frame)
-    if name == "bronze":
-        table = bronze_table(lake, yellow)
-        return quality.Layer(name, table, quality.table_projection(spark.table(table).filter(in_window), "VendorID"))
-    if name == "silver":
-        table = silver_table(config, "yellow")
-        return quality.Layer(name, table, quality.table_projection(spark.table(table).filter(in_window), "vendor_id"))
-    # Gold holds only the window, so it is evaluated whole.
-    table = consumption_table(config)
-    return quality.Layer(name, table, quality.table_projection(spark.table(table), "VendorID"))
+        present = _landing_files(spark, config, "yellow")
+        files = present.filter(F.col("reference_month").isin(window)).select(
+            F.col("reference_month").alias("month"), "path", "size_bytes", "modified_at"
+        )
+
+        def landing_rows(months: list[str]) -> DataFrame:
+            return landing.landing_canonical(
+                spark, lake.landing_path, "yellow", config.start_month, config.end_month, quality.landing_projection,
+                present, months,
+            )
+
+        return quality_state.MonthlyLayer(name, f"{lake.landing_path}/yellow", files, landing_rows, "files", False)
+
+    table, vendor = {
+        "bronze": (bronze_table(lake, yellow), "VendorID"),
+        "silver": (silver_table(config, "yellow"), "vendor_id"),
+        "gold": (consumption_table(config), "VendorID"),
+    }[name]
+    stored = spark.table(table)
+
+    def table_rows(months: list[str]) -> DataFrame:
+        return quality.table_projection(stored.filter(F.col(MONTH).isin(months)), vendor)
+
+    files = quality_state.month_files(spark, lake, table, MONTH, window)
+    return quality_state.MonthlyLayer(name, table, files, table_rows, stored.schema.simpleString())
 
 
 def run_job(spark: SparkSession, config: JobConfig, texts: DataFrame | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from meterlake.operators.quality import (
     Run,
     checked_results,
 )
+from meterlake.operators.rule_guard import check_rules
 from meterlake.operators.rules import CATALOG_SCHEMA, checked_catalog, rule_frame, synchronised_catalog
 from meterlake.plans import quality_views
 from meterlake.sources.tables import Lake, TableSpec, ensure_table, replace_partition
@@ -70,11 +71,14 @@ def synchronise(spark: SparkSession, lake: Lake, document: dict) -> DataFrame:
 
     The new state is written as a new version next to the old one. Nothing that is being
     read is overwritten, and a run that dies half way leaves the previous version in force.
+    A document with a rule that cannot be evaluated changes nothing.
     """
+    rules = rule_frame(spark, document)
+    check_rules(spark, [row.asDict() for row in rules.select("rule_id", "expression").collect()])
     versions = spark.table(catalog_table(lake))
     latest = versions.agg(F.max(VERSION).alias("latest")).first()["latest"]
     merged = synchronised_catalog(
-        current_catalog(spark, lake), rule_frame(spark, document), document["version"], F.current_timestamp()
+        current_catalog(spark, lake), rules, document["version"], F.current_timestamp()
     )
     (
         checked_catalog(merged)

@@ -301,14 +301,17 @@ def landing_canonical(
     end_month: str,
     project,
     manifest: DataFrame | None = None,
+    months: list[str] | None = None,
 ) -> DataFrame:
     """Landing files of a month window in one shape, month taken from the file name.
 
     ``project`` maps a physical frame to the wanted columns; ``reference_month`` is added. With
-    ``manifest``, the manifest rows of the service's files, no footer is read here.
+    ``manifest``, the manifest rows of the service's files, no footer is read here. ``months`` narrows the window further.
     """
     files = list_files(spark, f"{root}/{service}") if manifest is None else manifest
     window = F.col("reference_month").between(start_month, end_month)
+    if months is not None:
+        window &= F.col("reference_month").isin(months)
     if manifest is None:
         described = read_footers(with_identity(files).filter(window))
     else:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from meterlake.__main__ import main
 from meterlake.operators import quality, rules
 from meterlake.operators.silver import silver_trips
-from meterlake.plans import job, quality_store
+from meterlake.plans import job, quality_state, quality_store
 from meterlake.plans.refresh import refresh_months
 from meterlake.session import scratch_dir
 from meterlake.sources import event_trips as fixtures
@@ -120,6 +120,13 @@ def test_only_touched_months_are_rewritten(spark, sf_dir, config, results):
     job.refresh_gold(spark, config)
     assert job.refresh_silver(spark, config) == {"yellow": ["2023-12"], "green": [], "fhv": []}
     job.refresh_gold(spark, config)
+    # Quality: only the late file's month is counted again, and the sums are those of a full count.
+    active = quality.load_rules(rules.active_rules(quality_store.current_catalog(spark, config.lake)))
+    layers = [job.quality_layer(spark, config, name) for name in rules.LAYERS]
+    found, scanned = quality_state.evaluate_months(spark, config.lake, layers, active, RUN)
+    assert scanned == {name: ["2023-12"] for name in rules.LAYERS}
+    whole = [quality.Layer(layer.name, layer.table_name, layer.rows(["2023-12", "2024-01"])) for layer in layers]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, quality.evaluate(whole, active, RUN).collect()))
     after = month_counts(spark)
     assert after == {**before, "2023-12": 2 * before["2023-12"]}
     rebuilt = silver_trips(
