@@ -583,6 +583,8 @@ SELECT coalesce(i.rule_id, o.rule_id) AS rule_id,
   TIMESTAMP '2024-02-01' AS updated_at
 FROM part_rules o FULL JOIN incoming i ON o.rule_id = i.rule_id""",
         "dq_evaluate": _with(TRIPS, _rules_cte(False), _results_cte(*_RUN_1)) + "SELECT * FROM run_1",
+        "dq_evaluate_months": _with(TRIPS, _rules_cte(False), _results_cte(*_RUN_3))
+        + "SELECT * FROM run_3 WHERE layer = 'silver'",
         "dq_history": history + "SELECT * FROM history",
         "dq_execution_summary": summary + "SELECT * FROM summary",
         "dq_dashboard_results": dashboard + "SELECT * FROM dashboard",
