@@ -2,8 +2,9 @@
 
 Each task first inserts its own texts into a trie, so a text travels once per task however often
 it is repeated there. Partitions by (byte length, 64-bit content hash) then insert the full byte strings into their
-trie; a terminal node keeps the smallest id and the number of rows. Subtrees are spilled to task-private files
-when a trie outgrows its limit and are finished one by one afterwards. Two texts meet in one terminal node only if
+trie; a terminal node keeps the first owner, the smallest id and the number of rows, whatever is inserted how often. A later owner
+leaves the task as a link to the first one, and a join gives it what the terminal holds. Subtrees are spilled to
+task-private files when a trie outgrows its limit and are finished one by one afterwards. Two texts meet in one terminal node only if
 all bytes agree, so neither hash decides.
 
 Defined results: a null text counts as empty; a null doc_id is never the smallest, unless no row of
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import os
 import pickle
+import sys
 import tempfile
 from collections.abc import Iterator
 
@@ -35,41 +37,52 @@ class _Node:
     def __init__(self, label: bytes) -> None:
         self.label = label
         self.children: dict[int, _Node] = {}
+        #: First owner, smallest id, rows.
         self.value: list | None = None
         self.spilled: str | None = None
 
 
 class Trie:
-    """A compressed radix trie from byte strings to lists of values."""
+    """A compressed radix trie from byte strings to (first owner, smallest id, rows).
 
-    def __init__(self, most_bytes: int = TRIE_BYTES) -> None:
+    ``links`` gains (owner, first owner) for every owner that meets an earlier one; whoever fills the trie empties it.
+    """
+
+    def __init__(self, most_bytes: int = TRIE_BYTES, links: list[tuple[int, int]] | None = None) -> None:
         self.root = _Node(b"")
+        self.links = [] if links is None else links
         self.bytes = 0
         self.most = most_bytes
         self.folder: tempfile.TemporaryDirectory | None = None
         self.files = 0
 
-    def insert(self, key: bytes, value: object) -> None:
+    def insert(self, key: bytes, owner: int, least: int | None, rows: int) -> list | None:
+        """The terminal's values after the insertion; None if the key went to a spilled subtree."""
         node, at = self.root, 0
         while True:
             if node.spilled:
                 with open(node.spilled, "ab") as out:
-                    pickle.dump((key[at:], [value]), out)
-                return
+                    pickle.dump((key[at:], [owner, least, rows]), out)
+                return None
             if at == len(key):
                 if node.value is None:
-                    node.value = []
-                node.value.append(value)
-                return
+                    node.value = [owner, least, rows]
+                else:
+                    held = node.value
+                    self.links.append((owner, held[0]))
+                    if least is not None and (held[1] is None or least < held[1]):
+                        held[1] = least
+                    held[2] += rows
+                return node.value
             child = node.children.get(key[at])
             if child is None:
                 child = _Node(key[at:])
-                child.value = [value]
+                value = child.value = [owner, least, rows]
                 node.children[key[at]] = child
                 self.bytes += len(child.label) + 200
                 if self.bytes > self.most:
                     self._spill()
-                return
+                return value
             label = child.label
             if key.startswith(label, at):
                 node, at = child, at + len(label)
@@ -92,25 +105,27 @@ class Trie:
             self.files += 1
             path = os.path.join(self.folder.name, str(self.files))
             with open(path, "wb") as out:
-                for suffix, values in _walk(child, b"", False):
+                for suffix, value in _walk(child, b"", False):
                     # A subtree spilled before, below a node that was split since, moves along.
-                    for key, more in _read(values) if isinstance(values, str) else [(b"", values)]:
+                    for key, more in _read(value) if isinstance(value, str) else [(b"", value)]:
                         pickle.dump((suffix + key, more), out)
             child.spilled, child.children, child.value = path, {}, None
         self.bytes = 0
 
     def items(self) -> Iterator[tuple[bytes, list]]:
-        """Every key with its values; spilled subtrees are read back one at a time."""
-        for suffix, values in _walk(self.root, b"", True):
-            if isinstance(values, str):
-                below = Trie(self.most)
-                for key, more in _read(values):
-                    for value in more:
-                        below.insert(key, value)
+        """Every key with its values; spilled subtrees are read back one at a time.
+
+        A file holds the entries of a key in the order they came, so the first owner stays the first.
+        """
+        for suffix, value in _walk(self.root, b"", True):
+            if isinstance(value, str):
+                below = Trie(self.most, self.links)
+                for key, more in _read(value):
+                    below.insert(key, *more)
                 for rest, found in below.items():
                     yield suffix + rest, found
             else:
-                yield suffix, values
+                yield suffix, value
         if self.folder is not None:
             self.folder.cleanup()
 
@@ -142,50 +157,52 @@ def _walk(top: _Node, prefix: bytes, labelled: bool) -> Iterator[tuple[bytes, li
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each row, under ``owner``; the first row of each text also carries the text."""
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("sha", pa.string()), ("owner", pa.int64()), ("hash", pa.int64()), ("text", pa.binary()), ("least", pa.int64()), ("members", pa.int64())])
-    trie, rows, size = Trie(), [], 0
+    # Bounded by what is gathered, so nothing spills here.
+    trie, rows, size = Trie(sys.maxsize), [], 0
 
     def flush() -> pa.RecordBatch:
-        kept = {}
-        for key, found in trie.items():
-            ids = [rows[i][1] for i in found if rows[i][1] is not None]
-            first = found[0]
-            for i in found:
-                kept[i] = (first, None, None, None)
-            kept[first] = (first, key, min(ids, default=None), len(found))
-        out = [[row, doc, sha, rows[kept[i][0]][0], hashed, *kept[i][1:]] for i, (row, doc, sha, hashed) in enumerate(rows)]
+        texts = {found[0]: (key, found[1], found[2]) for key, found in trie.items()}
+        out = [
+            (row, doc, sha, held[0], hashed, *(texts[row] if row == held[0] else (None, None, None)))
+            for row, doc, sha, hashed, held in rows
+        ]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     for batch in pieces(batches, "text"):
         columns = batch.to_pydict()
         for row, doc, sha, hashed, text in zip(*[columns[c] for c in ("row", "doc_id", "sha", "hash", "text")], strict=True):
-            trie.insert(text, len(rows))
-            rows.append((row, doc, sha, hashed))
+            rows.append((row, doc, sha, hashed, trie.insert(text, row, doc, 1)))
             size += len(text) + 300
         if size > GATHER_BYTES:
             yield flush()
-            trie, rows, size = Trie(), [], 0
+            trie, rows, size = Trie(sys.maxsize), [], 0
     if rows:
         yield flush()
 
 
 def _owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each owner row: the smallest id and the number of rows with its text."""
-    schema = pa.schema([("owner", pa.int64()), ("keep_id", pa.int64()), ("group_size", pa.int64())])
+    """A row with the smallest id and the number of rows for each text, under its first owner; (owner, first) for other owners."""
+    schema = pa.schema([("owner", pa.int64()), ("first", pa.int64()), ("keep_id", pa.int64()), ("group_size", pa.int64())])
     trie = Trie()
+    out: list[tuple] = []
+
+    def full(least: int) -> Iterator[pa.RecordBatch]:
+        out.extend((owner, first, None, None) for owner, first in trie.links)
+        trie.links.clear()
+        if len(out) > least:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+            out.clear()
+
     for batch in batches:
         columns = batch.to_pydict()
         for owner, text, least, members in zip(*[columns[c] for c in ("owner", "text", "least", "members")], strict=True):
-            trie.insert(text, (owner, least, members))
-    out: list[tuple] = []
-    for _, found in trie.items():
-        least = min((x[1] for x in found if x[1] is not None), default=None)
-        total = sum(x[2] for x in found)
-        out.extend((x[0], least, total) for x in found)
-        if len(out) > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
-            out = []
-    if out:
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+            trie.insert(text, owner, least, members)
+        yield from full(50_000)
+    for _, (first, least, total) in trie.items():
+        out.append((first, first, least, total))
+        if len(out) + len(trie.links) > 50_000:
+            yield from full(0)
+    yield from full(0)
 
 
 def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -202,7 +219,11 @@ def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     gathered = stored(spark, gathered, "exact-rows")
     texts = gathered.where("text IS NOT NULL").select("owner", "hash", "text", "least", "members")
     owned = texts.repartition(F.octet_length("text"), "hash").select("owner", "text", "least", "members")
-    groups = owned.mapInArrow(_owned, "owner long, keep_id long, group_size long")
+    # The first owner of a text answers for itself, so only repeated texts travel once more.
+    found = stored(spark, owned.mapInArrow(_owned, "owner long, first long, keep_id long, group_size long"), "exact-owners")
+    terminals = found.where("owner = first").select("first", "keep_id", "group_size")
+    others = found.where("owner <> first").select("owner", "first")
+    groups = terminals.withColumnRenamed("first", "owner").unionByName(others.join(terminals, "first").drop("first"))
     out = gathered.select("row", "doc_id", "sha", "owner").join(groups, "owner")
     kept = F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull())
     return out.select("row", "doc_id", "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"))

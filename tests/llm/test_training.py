@@ -82,13 +82,30 @@ def test_exact_groups(spark, docs, empty):
 def test_trie_spills_whole_subtrees():
     rng = random.Random(5)
     keys = [bytes(rng.choices(b"ab\x00", k=rng.randrange(0, 30))) for _ in range(3_000)]
-    small, large = exact_dedup.Trie(5_000), exact_dedup.Trie()
+    expected: dict[bytes, list] = {}
     for i, key in enumerate(keys):
-        small.insert(key, i)
-        large.insert(key, i)
-    found = {k: sorted(v) for k, v in small.items()}
-    assert small.files > 0 and found == {k: sorted(v) for k, v in large.items()}
-    assert all(sorted(i for i, k in enumerate(keys) if k == key) == ids for key, ids in list(found.items())[:50])
+        held = expected.setdefault(key, [i, None, 0])
+        least = None if i % 7 == 0 else 3_000 - i
+        held[1] = least if held[1] is None else held[1] if least is None else min(held[1], least)
+        held[2] += 1
+    links = {(i, expected[key][0]) for i, key in enumerate(keys) if i != expected[key][0]}
+    for most in (500, 5_000, exact_dedup.TRIE_BYTES):
+        trie = exact_dedup.Trie(most)
+        for i, key in enumerate(keys):
+            trie.insert(key, i, None if i % 7 == 0 else 3_000 - i, 1)
+        assert (trie.files > 0) == (most < exact_dedup.TRIE_BYTES)
+        assert dict(trie.items()) == expected
+        assert set(trie.links) == links and len(trie.links) == len(links)
+
+
+def test_a_text_in_many_rows_takes_one_terminal(spark):
+    """Gathered many times over: the node stays three numbers, and every row finds its owner."""
+    rows = spark.range(100_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 5 < 4, F.repeat(F.lit("same words "), 100)).otherwise(F.concat(F.lit("own "), F.col("id"))).alias("text")
+    )
+    found = exact_dedup.exact_groups(spark, rows.repartition(7)).groupBy("keep_id", "group_size").count()
+    groups = found.groupBy("group_size", "count").agg(F.count("*").alias("groups"), F.min("keep_id").alias("least")).collect()
+    assert sorted(map(tuple, groups)) == [(1, 1, 20_000, 4), (80_000, 80_000, 1, 0)]
 
 
 def test_near_groups(spark, docs, empty):
