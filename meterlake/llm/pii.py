@@ -1,34 +1,33 @@
 """Personal data: fixed base patterns, and spans that a boosted model of candidates adds.
 
 High-recall generators propose overlapping spans. Each candidate gets numbers for its format and
-its surroundings. Boosted trees are trained on a bounded sample of documents, where a candidate counts
-as right if it is a base span, or if its normal form or its surroundings say so (``EVIDENCE``); thresholds are calibrated on the half of the sample that the trees did not see. The
+its surroundings. A candidate counts as right if it is a base span, or if its normal form or its surroundings say so
+(``EVIDENCE``). All candidates of all documents are counted by their numbers, so that what is learnt from is one weighted row for each
+distinct set of numbers. Boosted trees are trained on all of it. For the thresholds the texts are dealt into two halves, each scored by trees trained on the other. The
 trees become one SQL expression, so scoring is built-in functions on each row without a shuffle. A candidate enters the
 result if it passes its kind's threshold and overlaps no base span of that kind; of overlapping ones the
 earliest, then longest, stays.
 
-Defined results: a null text counts as empty; a null doc_id is kept and not learnt from; rows repeated give a row each;
-without right and wrong candidates in the sample nothing is added; an empty table gives no rows.
+Defined results: a null text counts as empty; rows with a null doc_id or repeated give a row each and are learnt from; a half
+is scored if the other one has right and wrong candidates, and if neither is, nothing is added; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import stored, whole_text
 from meterlake.llm.spans import found, labelled, listing, located, luhn, quoted
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that the trees are trained and calibrated on, at most: those with the smallest hashes of their id.
-SAMPLE_DOCUMENTS = 6_000
-#: Candidates of the sample that are used, at most, and of one kind in one document; those with the smallest hashes of their place.
-SAMPLE_CANDIDATES, OF_A_DOCUMENT = 20_000, 8
-TREES, DEPTH = 8, 3
+TREES, DEPTH, BINS = 8, 3, 16
 #: A threshold is the lowest at which this share of the accepted calibration candidates is right.
 PRECISION = 0.9
 #: Code points before a candidate in which words of context are looked for.
@@ -127,36 +126,50 @@ def _tree_sql(lines: list[str]) -> str:
     return f"CASE WHEN c.f[{m[1]}] <= {float(m[2])!r}D THEN {yes} ELSE {_tree_sql(lines)} END"
 
 
-def fit(spark: SparkSession, docs: DataFrame) -> tuple[str, dict[str, float]] | None:
-    """SQL for a candidate's probability, and each kind's threshold; None if the sample has no two classes."""
-    place = F.xxhash64("doc_id", F.lit(4))
-    chosen = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(place, "doc_id").limit(SAMPLE_DOCUMENTS)
-    chosen = stored(spark, chosen, "pii-sample")
-    texts = docs.select("doc_id", whole_text().alias("text")).join(chosen, "doc_id", "left_semi")
-    rows = candidates(base_spans(texts)).select("doc_id", "base", F.explode("cands").alias("c"))
+def counted(docs: DataFrame) -> DataFrame:
+    """How many candidates (``n``) of all ``docs`` have each kind, features, label and half of the texts."""
+    rows = candidates(base_spans(docs.select("doc_id", whole_text().alias("text"))).withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2))))
+    # An outer explode, because Spark would extract twice to test for empty lists before a plain one.
+    rows = rows.select("base", "half", F.explode_outer("cands").alias("c")).where("c IS NOT NULL")
     right = F.expr(f"CAST(exists(base, b -> b.kind = c.kind AND b.start = c.start AND b.end = c.end) OR coalesce({EVIDENCE}, false) AS double)")
-    rows = rows.select("doc_id", F.col("c.start"), F.col("c.kind"), F.col("c.f"), right.alias("label"))
-    chance = F.xxhash64("doc_id", "start", "kind", F.lit(4))
-    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "kind").orderBy(chance, "start"))).where(F.col("nth") <= OF_A_DOCUMENT).drop("nth")
-    rows = rows.orderBy(chance, "doc_id", "start", "kind").limit(SAMPLE_CANDIDATES).withColumn("learn", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(2)) == 0)
-    rows = stored(spark, rows, "pii-candidates")
-    learn = rows.where("learn").withColumn("features", array_to_vector("f"))
-    if {r["label"] for r in learn.select("label").distinct().collect()} != {0.0, 1.0}:
+    rows = rows.select("half", F.col("c.kind"), F.col("c.f"), right.alias("label"))
+    return rows.groupBy("kind", "f", "label", "half").agg(F.count("*").cast("double").alias("n"))
+
+
+def _score(rows: DataFrame) -> str | None:
+    """SQL for a candidate's probability by trees trained on all of ``rows``; None if they have no two classes."""
+    classes, distinct = rows.agg(F.count_distinct("label"), F.count("*")).first()
+    if classes < 2:
         return None
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=16, stepSize=0.3, seed=4).fit(learn.coalesce(4))
+    # Spark chooses where trees may cut from a sample of max(10000, maxBins * maxBins) rows; so many bins make that all rows.
+    bins = max(BINS, math.isqrt(distinct) + 1)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=bins, stepSize=0.3, seed=4, weightCol="n").fit(rows.withColumn("features", array_to_vector("f")))
     trees = [_tree_sql(tree.toDebugString.strip().splitlines()[1:]) for tree in model.trees]
     margin = " + ".join(f"({w!r}D * {t})" for w, t in zip(model.treeWeights, trees, strict=True))
-    score = f"(1D / (1D + exp(-2D * ({margin}))))"
-    held = rows.where("NOT learn").select("kind", "label", F.struct("f").alias("c")).select("kind", "label", F.expr(score).alias("score"))
-    steps = held.groupBy("kind", F.floor(F.col("score") * 100).alias("step")).agg(F.sum("label").alias("right"), F.count("*").alias("n"))
+    return f"(1D / (1D + exp(-2D * ({margin}))))"
+
+
+def fit(spark: SparkSession, docs: DataFrame) -> tuple[str, dict[str, float]] | None:
+    """SQL for a candidate's probability, and the thresholds by kind; None if no kind has one."""
+    rows = stored(spark, counted(docs).sortWithinPartitions("kind", "f", "label", "half"), "pii-counts")
+    held = []
+    for half in (0, 1):
+        score = _score(rows.where(F.col("half") != half))
+        if score:
+            held.append(rows.where(F.col("half") == half).select("kind", "label", "n", F.struct("f").alias("c")).select("kind", "label", "n", F.expr(score).alias("score")))
+    if not held:
+        return None
+    steps = reduce(DataFrame.union, held).groupBy("kind", F.floor(F.col("score") * 100).alias("step")).agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n"))
+    by_score = sorted(steps.collect(), key=lambda r: -r["step"])  # at most 101 of a kind
     thresholds: dict[str, float] = {}
     for kind in KINDS:
         right_so_far = n_so_far = 0.0
-        for r in sorted((r for r in steps.where(F.col("kind") == kind).collect()), key=lambda r: -r["step"]):
-            right_so_far, n_so_far = right_so_far + r["right"], n_so_far + r["n"]
-            if r["step"] >= 50 and right_so_far >= PRECISION * n_so_far:
-                thresholds[kind] = r["step"] / 100
-    return score, thresholds
+        for r in by_score:
+            if r["kind"] == kind:
+                right_so_far, n_so_far = right_so_far + r["right"], n_so_far + r["n"]
+                if r["step"] >= 50 and right_so_far >= PRECISION * n_so_far:
+                    thresholds[kind] = r["step"] / 100
+    return (_score(rows), thresholds) if thresholds else None
 
 
 def personal_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -164,7 +177,7 @@ def personal_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     model = fit(spark, docs)
     rows = base_spans(docs.select("doc_id", whole_text().alias("text")))
     empty = "filter(base, b -> false)"
-    if model and model[1]:
+    if model:
         score, thresholds = model
         rows = candidates(rows)
         limit = "CASE c.kind " + " ".join(f"WHEN '{k}' THEN {t!r}D" for k, t in thresholds.items()) + " ELSE 2D END"

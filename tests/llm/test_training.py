@@ -324,6 +324,18 @@ def test_obfuscated_formats_are_learnt_as_right(spark):
             assert r["spans"].count("email:") == 2, (texts[r["doc_id"]], r["spans"])
 
 
+def test_personal_data_is_learnt_from_every_candidate(spark):
+    """Formats with the same numbers: 400 right ones without an id, then 1200 wrong ones in four documents beside them."""
+    name = [f"{i:04}" for i in range(400)]
+    right = [(None, f"u{n}[at]h{n}.org") for n in name]
+    wrong = [(k, f"{prose(k, 2)} " + "; ".join(f"u{n} at h{n}.org" for n in name[:300])) for k in range(4)]
+    few = spark.createDataFrame([*right, (0, wrong[0][1][:60])], "doc_id long, text string")
+    assert all(r["spans"] for r in pii.personal_spans(spark, few).where("doc_id IS NULL").collect())
+    many = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(right, 4)] + wrong, few.schema)
+    assert not any(r["spans"] for r in pii.personal_spans(spark, many).collect())
+    assert sorted(map(tuple, pii.counted(many).groupBy("label").sum("n").collect())) == [(0.0, 1200.0), (1.0, 400.0)]
+
+
 def test_secrets(spark, docs, empty):
     expected = sorted(((i, *secrets(t)[:4]) for i, t in texts_of(docs)), key=repr)
     assert sorted_rows(ledger.secret_spans(spark, docs).drop("spans")) == expected
