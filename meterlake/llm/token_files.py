@@ -30,6 +30,7 @@ import json
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,11 +38,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import pieces, stored, whole_text
+from meterlake.llm.common import binary_parts, pieces, stored, whole_text
 from meterlake.llm.part_cache import PartCache
 from meterlake.sources.landing import filesystem_opener
 
@@ -50,6 +52,7 @@ KEYS_PER_INDEX = 1 << 18
 CACHE_ENTRIES = 300_000
 READ_BYTES = 4 << 20
 PARTS_TOGETHER = 2_000
+PIECE_BYTES = 2 << 20
 SPACE_MARK = "\u0120"  # a space at the start of a token, as byte-level vocabularies write it
 _MAGIC = b"IDSMPH1\0"
 _SPARSE = 2  # places per key on each level
@@ -73,7 +76,8 @@ class Encoder:
         self.cache = PartCache(self._parts, CACHE_ENTRIES)
         self.begins = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids whose token starts with a space
         self.begins[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(SPACE_MARK)]] = True
-        self.odd = re.compile(r"\s ").search
+        self.end = np.array([END_ID], self.kind).tobytes()
+        self.odd = "[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()) + "] "
         self.cut = re.compile(r"(?<=\S) ").split
 
     def _ids(self, texts: list[str]) -> Iterator[bytes]:
@@ -85,25 +89,58 @@ class Encoder:
 
         Parts without a space, that no white space ends, are encoded many at a time: there a token that starts with a space starts a part.
         """
-        plain = [part for part in parts if part and " " not in part and not part[-1].isspace()]
-        known: dict[str, bytes] = {}
-        for start in range(0, len(plain), PARTS_TOGETHER):
-            some = plain[start : start + PARTS_TOGETHER]
+        plain, apart = [], {}
+        for part in parts:
+            if part and " " not in part and not part[-1].isspace():
+                plain.append(part)
+            else:
+                apart[part] = next(self._ids([" " + part]))
+        together = self._plain(plain)
+        for part in parts:
+            yield apart[part] if part in apart else next(together)
+
+    def _plain(self, parts: list[str]) -> Iterator[bytes]:
+        for start in range(0, len(parts), PARTS_TOGETHER):
+            some = parts[start : start + PARTS_TOGETHER]
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, np.int64)
             begins = np.flatnonzero(self.begins[ids]) * self.kind.itemsize
             if len(begins) != len(some):
                 raise ValueError("the tokenizer joins words across spaces")
             data, bounds = ids.astype(self.kind).tobytes(), [*begins.tolist(), len(ids) * self.kind.itemsize]
-            known.update((part, data[a:b]) for part, a, b in zip(some, bounds, bounds[1:], strict=False))
-        for part in parts:
-            yield known[part] if part in known else next(self._ids([" " + part]))
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        plans = [self.cut(text) if self.odd(text) else text.split(" ") for text in texts]
-        heads = self._ids([plan[0] for plan in plans])
-        known = self.cache.results({part for plan in plans for part in plan[1:]})
-        for head, plan in zip(heads, plans, strict=True):
-            yield head + b"".join(map(known.__getitem__, plan[1:]))
+            yield from [data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def _split(self, texts: pa.Array) -> pa.Array:
+        """The parts of each text: cut at spaces, but not at those after white space."""
+        plans = pc.split_pattern(texts, " ")
+        odd = np.flatnonzero(pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False))
+        if not len(odd):
+            return plans
+        order = np.arange(len(texts))
+        order[odd] = len(texts) + np.arange(len(odd))
+        other = pa.array([self.cut(text) for text in texts.take(pa.array(odd)).to_pylist()], plans.type)
+        return pa.concat_arrays([plans, other]).take(pa.array(order))
+
+    def encode(self, texts: pa.Array) -> tuple[bytes, np.ndarray]:
+        """The ids of all texts, each with the end id, one after the other, and how many each text has; no null among them.
+
+        Parts travel as numbers, so that Python sees each distinct part of ``texts`` once.
+        """
+        plans = self._split(texts)
+        parts, sizes = plans.flatten(), plans.value_lengths().to_numpy()
+        first = np.cumsum(sizes, dtype=np.int64) - sizes
+        inner = np.ones(len(parts), bool)
+        inner[first] = False
+        coded = parts.filter(pa.array(inner)).dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist takes ten times as long
+        known = self.cache.results(set(names))
+        # An end id before each text's first part stands after the text before.
+        heads = [self.end + head for head in self._ids(parts.take(pa.array(first)).to_pylist())]
+        place = np.empty(len(parts), np.int64)
+        place[inner] = coded.indices.to_numpy()
+        place[first] = len(names) + np.arange(len(heads))
+        data, ends = binary_parts(pa.array([*map(known.__getitem__, names), *heads], pa.large_binary()).take(pa.array(place)))
+        starts = ends[:-1][first]
+        return data[len(self.end) :].tobytes() + self.end, np.diff(starts, append=ends[-1]) // self.kind.itemsize
 
 
 @lru_cache(maxsize=2)
@@ -207,24 +244,23 @@ def write_shards(spark: SparkSession, docs: DataFrame, folder: str, tokenizer_pa
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard = _encoder(description.value), TaskContext.get().partitionId()
-        end = np.array([END_ID], encoder.kind).tobytes()
         filesystem, inner = open_filesystem(f"{folder}/shard-{shard:06d}.ids")
-        own, out, ends = f"{inner}.{uuid.uuid4().hex}", None, [0]
-        for batch in pieces(batches, "text", 2 << 20):
+        own, out, counts = f"{inner}.{uuid.uuid4().hex}", None, []
+        written = 0
+        for batch in pieces(batches, "text", PIECE_BYTES):
             out = out or filesystem.open_output_stream(own)
-            first = len(ends) - 1
-            for ids in encoder.encode(batch.column(1).to_pylist()):
-                out.write(ids + end)
-                ends.append(ends[-1] + len(ids) // encoder.kind.itemsize + 1)
-            lengths = np.diff(np.array(ends[first:], np.int64))
-            rows = np.arange(first, len(ends) - 1, dtype=np.int64)
+            ids, lengths = encoder.encode(batch.column(1))
+            out.write(ids)
+            counts.append(lengths)
+            rows = np.arange(written, written + len(lengths), dtype=np.int64)
+            written += len(lengths)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(rows), shard, np.int32)), pa.array(rows), batch.column(0), pa.array(lengths)], ["shard", "row", "doc_id", "n"]
             )
         if out:
             out.close()
             filesystem.move(own, inner)
-            _replace(open_filesystem, f"{folder}/shard-{shard:06d}.pos", np.array(ends, "<u8").tobytes())
+            _replace(open_filesystem, f"{folder}/shard-{shard:06d}.pos", np.cumsum(np.concatenate([[0], *counts])).astype("<u8").tobytes())
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
